@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexharbor.session import bounded
+
 #: Snapshot numbers are joined by broadcast up to this many; beyond it the join is left to the planner.
 MAX_BROADCAST_SNAPSHOTS = 10_000
 
@@ -51,8 +53,7 @@ def snapshot_changes(
     w = Window.orderBy("no")  # one row per snapshot number
     numbers = rows.where(F.col(snapshot).isNotNull()).select(F.col(snapshot).alias("no")).distinct()
     near = numbers.select("no", F.lag("no").over(w).alias("before"), F.lead("no").over(w).alias("after"))
-    if len(numbers.limit(MAX_BROADCAST_SNAPSHOTS + 1).collect()) <= MAX_BROADCAST_SNAPSHOTS:
-        near = F.broadcast(near)
+    near = bounded(near, numbers, MAX_BROADCAST_SNAPSHOTS)
     of_key = Window.partitionBy(*keys).orderBy("no")
     seen = held.join(near, "no").select(
         *keys, "no", "before", "after", "digest",

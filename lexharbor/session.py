@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Settings of a local session; a cluster's own settings stay as they are.
 LOCAL = {
@@ -48,3 +49,18 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan whose files give fewer tasks than there are cores, dealt out over all cores; any other scan as it is, without a shuffle."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
+def bounded(small: DataFrame, counted: DataFrame | None = None, most_rows: int = 10_000) -> DataFrame:
+    """`small` marked for broadcast if it has no more than `most_rows` rows, else as it is, for the planner to join by shuffle.
+
+    `counted`, if given, is a cheaper table that has at least as many rows.
+    """
+    n = len((small if counted is None else counted).select(F.lit(1)).limit(most_rows + 1).collect())
+    return F.broadcast(small) if n <= most_rows else small
