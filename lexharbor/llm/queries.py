@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexharbor.llm import fusion, mixture, splitting, tokens
+from lexharbor.llm import fusion, mixture, neighbours, splitting, tokens
 from lexharbor.operators.dedup import last_wins
 from lexharbor.session import spread, table
 
@@ -32,6 +32,17 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitting.split_oversized(table(spark, sf_dir, "rag_chunk")).where("chunk_index = 1").select("chunk_id").distinct()
 
 
+def p4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest of every chunk with a usable vector, with cosine and rank."""
+    near = neighbours.similar(table(spark, sf_dir, "rag_embedding"))
+    return near.select(F.col("item").alias("chunk_id"), F.col("neighbour").alias("neighbour_id"), "cosine", "rank")
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs of chunks one of which is among the 5 nearest of the other."""
+    return neighbours.pairs(neighbours.similar(table(spark, sf_dir, "rag_embedding")))
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The token ids of every document."""
     return tokens.encode_corpus(spread(table(spark, sf_dir, "documents").select("doc_id", "text"))).select("doc_id", "ids")
@@ -50,6 +61,7 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "p2_found": p2_found, "p2_ranking": p2_ranking,
     "p3_found": p3_found, "p3_pieces": p3_pieces,
+    "p4_found": p4_found, "p4_neighbours": p4_neighbours,
     "p6_ids": p6_ids,
     "p7_mix": p7_mix, "p7_shares": p7_shares,
 }

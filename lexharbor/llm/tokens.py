@@ -13,14 +13,13 @@ reaches it: each prefix of a word has exactly one accepted path. Time is linear
 from __future__ import annotations
 
 import json
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType
+from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 #: Fixed value: the published pattern that splits a text into words before the merges.
@@ -159,17 +158,15 @@ class Encoder:
         return n
 
 
-@lru_cache(maxsize=2)
-def _encoder(key: int) -> Encoder:
-    return Encoder(Automaton(*_SENT[key].value))
-
-
-_SENT: dict = {}
+_KEPT: dict[int, Encoder] = {}
 
 
 def _worker(key: int, sent) -> Encoder:
-    _SENT[key] = sent
-    return _encoder(key)
+    """The encoder of a broadcast vocabulary, compiled once by a worker."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = Encoder(Automaton(*sent.value))
+    return _KEPT[key]
 
 
 def _sent(df: DataFrame, vocabulary: str):
@@ -183,7 +180,7 @@ def token_ids(df: DataFrame, text: str = "text", vocabulary: str = VOCABULARY) -
     An empty and a NULL text have no tokens: both give an empty array, never NULL. Texts are encoded whole.
     """
     sent = _sent(df, vocabulary)
-    key = sent._jbroadcast.id() if sent._jbroadcast is not None else id(sent)
+    key = sent._jbroadcast.id()
 
     @F.arrow_udf(ArrayType(IntegerType()))
     def encode(texts: pa.Array) -> pa.Array:
@@ -201,7 +198,7 @@ def token_ids(df: DataFrame, text: str = "text", vocabulary: str = VOCABULARY) -
 def token_count(df: DataFrame, text: str = "text", vocabulary: str = VOCABULARY) -> Column:
     """Column INT: how many tokens `text` has; 0 for an empty and for a NULL text."""
     sent = _sent(df, vocabulary)
-    key = sent._jbroadcast.id() if sent._jbroadcast is not None else id(sent)
+    key = sent._jbroadcast.id()
 
     @F.arrow_udf(IntegerType())
     def count(texts: pa.Array) -> pa.Array:
@@ -223,7 +220,7 @@ def decode_corpus(df: DataFrame, ids: str = "ids", text: str = "decoded", vocabu
     """`df` with a column `text` STRING: the text of `ids`; NULL for NULL ids, empty for no ids."""
     sent = _sent(df, vocabulary)
 
-    @F.arrow_udf("string")
+    @F.arrow_udf(StringType())
     def decode(rows: pa.Array) -> pa.Array:
         tokens = sent.value[0]
         join = lambda row: b"".join(tokens[i] for i in row).decode("utf-8", "replace")
