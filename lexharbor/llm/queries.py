@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexharbor.llm import fusion, mixture, neighbours, splitting, tokens
+from lexharbor.llm import fusion, languages, mixture, neighbours, splitting, tokens
 from lexharbor.operators.dedup import last_wins
 from lexharbor.session import spread, table
 
@@ -58,12 +58,29 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.shares(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_target"))
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a missing or wrong label or several languages, with each language written in them."""
+    docs = _documents(spark, sf_dir)
+    return languages.mislabelled(docs, languages.train(docs))
+
+
+def p8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of every document with its language and confidence."""
+    docs = _documents(spark, sf_dir)
+    return languages.passages(docs, languages.train(docs))
+
+
 QUERIES = {
     "p2_found": p2_found, "p2_ranking": p2_ranking,
     "p3_found": p3_found, "p3_pieces": p3_pieces,
     "p4_found": p4_found, "p4_neighbours": p4_neighbours,
     "p6_ids": p6_ids,
     "p7_mix": p7_mix, "p7_shares": p7_shares,
+    "p8_found": p8_found, "p8_passages": p8_passages,
 }
 
 _FUSED = """
