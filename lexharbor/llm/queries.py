@@ -5,11 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexharbor.llm import fusion, languages, mixture, neighbours, splitting, tokens
+from lexharbor.llm import fusion, languages, markup, mixture, neighbours, splitting, tokens
 from lexharbor.operators.dedup import last_wins
 from lexharbor.session import spread, table
 
 
+def p1_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean text of every chunk, with its blocks."""
+    chunks = table(spark, sf_dir, "rag_chunk").select("chunk_id", "content", "created_at")
+    return markup.clean_markup(last_wins(chunks, ["chunk_id"], ["created_at"], ["content"]))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chunks with markup, each once however often its row is repeated."""
+    return markup.clean_markup(spread(table(spark, sf_dir, "rag_chunk").select("chunk_id", "content"))).where("has_markup").select("chunk_id").distinct()
+
+
 def p2_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every hit of every request with its ranks, its fused score and its position."""
     return fusion.fuse(table(spark, sf_dir, "search_hit"))
@@ -75,6 +86,7 @@ def p8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "p1_found": p1_found, "p1_clean": p1_clean,
     "p2_found": p2_found, "p2_ranking": p2_ranking,
     "p3_found": p3_found, "p3_pieces": p3_pieces,
     "p4_found": p4_found, "p4_neighbours": p4_neighbours,
