@@ -87,7 +87,7 @@ def normalized_query(query: Column, language: Column | None = None, english: Col
     lang = F.lower(F.trim(language)) if language is not None else F.lit("auto")
     lang = F.when(lang.isin(*LANGUAGES), lang).otherwise("auto")
     forced = F.nullif(F.trim(english), F.lit("")) if english is not None else F.lit(None).cast("string")
-    german = F.when(lang == "auto", looks_german(query)).otherwise(lang == "de")
+    german = F.when(lang == "auto", F.coalesce(looks_german(query), F.lit(False))).otherwise(lang == "de")
     new = rewrite_german(query)
     changed = ~new.eqNullSafe(query)
     reason = F.when(forced.isNotNull(), "query_en override").when(~german, None).when(changed, "de-to-en normalization").otherwise("de-detected-no-change")

@@ -62,7 +62,7 @@ def split_words(df: DataFrame, text: str = "text", max_words: int = MAX_WORDS, s
     df = df.withColumn("_words", words(F.col(text)))
     large = F.coalesce(F.size("_words"), F.lit(0)) > max_words
     parts = F.when(large, word_windows(F.col("_words"), size, overlap)).otherwise(F.array(F.col(text)))
-    out = df.select(*others, large.alias("_large"), F.size(parts).alias("n_parts"), F.posexplode(parts).alias("_part", text))
+    out = df.select(*others, large.alias("_large"), F.ceil(F.size("_words") / (size - overlap)).cast("int").alias("n_parts"), F.posexplode(parts).alias("_part", text))
     return out.select(*others, F.col(text), F.when(F.col("_large"), F.col("_part")).cast("int").alias("part"), F.when(F.col("_large"), F.col("n_parts")).otherwise(1).alias("n_parts"))
 
 

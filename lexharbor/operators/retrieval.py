@@ -11,12 +11,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from lexharbor.functions.queries import TextQuery, parse_all, parse_web
 from lexharbor.functions.text import tokens
 from lexharbor.functions.vectors import cosine, distance
 from lexharbor.operators.store import Store
+from lexharbor.session import bounded
 
 # The defaults of the searches.
 TOP_K, TEXT_TOP_K, CANDIDATES, RRF_K = 10, 20, 40, 60
@@ -176,31 +176,59 @@ def density(found: list[str], terms: list[str]) -> float:
     return sum(1 / (1 + (r[0] - l[0]) - (r[1] - l[1])) for l, r in spans.items())
 
 
-def batch_text_search(store: Store, queries: DataFrame, k_by_kind: Mapping[str, int], query_id: str = "query_id", text: str = "query", corpus: str = "corpus") -> DataFrame:
+_ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
+
+
+def _in_parts(queries: DataFrame, query_id: str, most: int) -> list[list]:
+    """The queries on the driver, in parts of about `most`; one empty part if there are none."""
+    rows = queries.limit(most + 1).collect()
+    if len(rows) <= most:
+        return [rows]
+    parts = -(-queries.count() // most)
+    return [queries.where(F.pmod(F.xxhash64(query_id), F.lit(parts)) == i).collect() for i in range(parts)]
+
+
+def batch_text_search(store: Store, queries: DataFrame, k_by_kind: Mapping[str, int], query_id: str = "query_id", text: str = "query", corpus: str = "corpus", most: int = 100_000) -> DataFrame:
     """query_id, corpus_name, chunk_id, score, rank: for each of many text queries the densest chunks of each corpus it asks.
 
     queries: query_id, text, corpus ("all", or a name), and k_<kind> columns that hold how many are wanted of a corpus of this kind (NULL: as
     `k_by_kind` says); a corpus of another kind gives the sum of all. Words are joined by and; a query without words finds nothing.
 
-    A text is looked up by the query's rarest word alone and then held against all of its words, so postings of frequent words are never
-    joined. What is shuffled of the corpus are (word, id) pairs; a frequent word that is some query's rarest is split by the planner (AQE).
+    The texts stay where they are: each task has the queries, listed by their rarest word, and holds a text against those whose rarest word is
+    in it. What is shuffled are counts of the queries' words and the hits. More than `most` queries are searched in parts, a pass for each.
     """
     corpora = store.corpus.select("corpus_id", F.col("name").alias("corpus_name"), F.regexp_extract(F.lower("name"), r"([^-]*)$", 1).alias("kind"))
     chunk = store.chunk.select("chunk_id", "document_id", tokens(F.col("content")).alias("tokens"))
     terms = queries.select(query_id, F.array_distinct(tokens(F.col(text))).alias("terms")).where(F.size("terms") > 0)
-    each = terms.select(query_id, "terms", F.explode("terms").alias("term"))
-    postings = chunk.select("chunk_id", F.explode(F.array_distinct("tokens")).alias("term"))
-    counts = postings.join(each.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    rarest = each.join(counts, "term", "left").groupBy(query_id).agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "term")).alias("r")).where("r.df > 0").select(query_id, F.col("r.term").alias("term"))
-    asked = rarest.join(terms, query_id)
-    candidates = postings.join(asked, "term").select(query_id, "terms", "chunk_id")
-
-    @F.arrow_udf(DoubleType())
-    def score(found: pa.Array, wanted: pa.Array) -> pa.Array:
-        return pa.array([round(density(f, t), DECIMALS) for f, t in zip(found.to_pylist(), wanted.to_pylist(), strict=True)], pa.float64())
-
-    whole = candidates.join(chunk, "chunk_id").where(F.size(F.array_except("terms", "tokens")) == 0)
-    scored = whole.select(query_id, "chunk_id", "document_id", score("tokens", "terms").alias("score"))
+    each = bounded(terms.select(F.explode("terms").alias("term")).distinct(), None, 20 * most)
+    counts = chunk.select(F.explode(F.array_distinct("tokens")).alias("term")).join(each, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    first = terms.select(query_id, "terms", F.explode("terms").alias("term")).join(counts, "term").groupBy(query_id, "terms").agg(F.min(F.struct("df", "term")).alias("r"), F.count(F.lit(1)).alias("n"))
+    asked = first.where(F.col("n") == F.size("terms")).select(query_id, "terms", F.col("r.term").alias("rarest"))  # all words occur somewhere
+    kind = queries.schema[query_id].dataType.simpleString()
+    lines = chunk.select("chunk_id", "document_id", F.array_join("tokens", " ").alias("line"))
+    scored = None
+    for rows in _in_parts(asked, query_id, most):
+        by_rarest: dict[str, list] = {}
+        for r in rows:
+            by_rarest.setdefault(r["rarest"], []).append((r[query_id], list(r["terms"])))
+        sent = queries.sparkSession.sparkContext.broadcast(by_rarest)
+
+        def meet(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            listed = sent.value
+            for batch in batches:
+                q, at, score = [], [], []
+                for i, line in enumerate(batch.column(2).to_pylist()):
+                    found = line.split(" ") if line else []
+                    there = set(found)
+                    for rare in there & listed.keys():
+                        for query, wanted in listed[rare]:
+                            if there.issuperset(wanted):
+                                q.append(query), at.append(i), score.append(round(density(found, wanted), DECIMALS))
+                take = pa.array(at, pa.int64())
+                yield pa.RecordBatch.from_pydict({query_id: pa.array(q, _ARROW[kind]), "chunk_id": batch.column(0).take(take), "document_id": batch.column(1).take(take), "score": pa.array(score, pa.float64())})
+
+        part = lines.mapInArrow(meet, f"`{query_id}` {kind}, chunk_id string, document_id string, score double")
+        scored = part if scored is None else scored.unionByName(part)
     kinds = list(k_by_kind)
     k_of = lambda kind: F.coalesce(F.col(f"k_{kind}"), F.lit(k_by_kind[kind]))
     total = sum((k_of(k) for k in kinds), F.lit(0))
@@ -213,22 +241,7 @@ def batch_text_search(store: Store, queries: DataFrame, k_by_kind: Mapping[str,
     return ranked.where(F.col("rank") <= F.col("_limit")).select(query_id, "corpus_name", "chunk_id", "score", "rank")
 
 
-def batch_dense_search(store: Store, vectors: DataFrame, top_k: int = TOP_K, query_id: str = "query_id", vector: str = "vector", block: int = 1024, most: int = 100_000) -> DataFrame:
-    """query_id, chunk_id, cosine, rank: the nearest chunks of each of many query vectors, over all corpora, exactly.
-
-    The queries, of which there may be no more than `most`, go to every task, which compares its chunks with them in blocks of matrix products
-    and keeps top_k of each query; the tasks' lists are then merged. Vectors of unlike sizes and without a direction are not compared.
-    """
-    rows = vectors.where(F.size(vector) > 0).select(query_id, F.col(vector).cast("array<float>").alias("v")).limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} query vectors: search them in parts")
-    by_size: dict[int, list] = {}
-    for r in rows:
-        by_size.setdefault(len(r["v"]), []).append((r[query_id], np.array(r["v"], np.float64)))
-    packed = {n: ([i for i, _ in qs], np.array([v / (np.linalg.norm(v) or 1) for _, v in qs])) for n, qs in by_size.items()}
-    sent = vectors.sparkSession.sparkContext.broadcast(packed)
-    kind = vectors.schema[query_id].dataType.simpleString()
-
+def _nearest(store: Store, sent, query_id: str, kind: str, top_k: int, block: int) -> DataFrame:
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict = {}
         for batch in batches:
@@ -250,9 +263,29 @@ def batch_dense_search(store: Store, vectors: DataFrame, top_k: int = TOP_K, que
                         mine.sort()
                         del mine[top_k:]
         a, b, c = zip(*[(q, n, -s) for q, lst in best.items() for s, n in lst], strict=True) if best else ((), (), ())
-        yield pa.RecordBatch.from_pydict({query_id: list(a), "chunk_id": pa.array(b, pa.string()), "cosine": pa.array(c, pa.float64())})
+        yield pa.RecordBatch.from_pydict({query_id: pa.array(a, _ARROW[kind]), "chunk_id": pa.array(b, pa.string()), "cosine": pa.array(c, pa.float64())})
+
+    return store.embedding.select("chunk_id", "v").mapInArrow(near, f"`{query_id}` {kind}, chunk_id string, cosine double")
+
+
+def batch_dense_search(store: Store, vectors: DataFrame, top_k: int = TOP_K, query_id: str = "query_id", vector: str = "vector", block: int = 1024, most: int = 100_000) -> DataFrame:
+    """query_id, chunk_id, cosine, rank: the nearest chunks of each of many query vectors, over all corpora, exactly.
 
-    parts = store.embedding.select("chunk_id", "v").mapInArrow(near, f"`{query_id}` {kind}, chunk_id string, cosine double")
+    The queries, `most` at a time, go to every task, which compares its chunks with them in blocks of matrix products and keeps top_k of each
+    query; the tasks' lists are then merged. Vectors of unlike sizes and without a direction are not compared.
+    """
+    kind = vectors.schema[query_id].dataType.simpleString()
+    asked = vectors.where(F.size(vector) > 0).select(query_id, F.col(vector).cast("array<float>").alias("v"))
+    parts = None
+    for rows in _in_parts(asked, query_id, most):
+        by_size: dict[int, list] = {}
+        for r in rows:
+            v = np.array(r["v"], np.float64)
+            if np.isfinite(v).all() and v.any():
+                by_size.setdefault(len(v), []).append((r[query_id], v / np.linalg.norm(v)))
+        packed = {n: ([i for i, _ in qs], np.array([v for _, v in qs])) for n, qs in by_size.items()}
+        part = _nearest(store, vectors.sparkSession.sparkContext.broadcast(packed), query_id, kind, top_k, block)
+        parts = part if parts is None else parts.unionByName(part)
     w = Window.partitionBy(query_id).orderBy(F.desc("cosine"), "chunk_id")
     return parts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_k)
 

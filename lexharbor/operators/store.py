@@ -146,7 +146,7 @@ def import_records(store: Store, records: DataFrame, model: str, now: Column | N
     at = F.current_timestamp() if now is None else now
     source = F.get_json_object("metadata", "$.source")
     known, unknown = known_sources(records, store.corpus, source)
-    one = last_wins(known.select("corpus_id", "id", "text", "metadata", "embedding", "pos"), ["corpus_id", "id"], ["pos"], ["text"])
+    one = last_wins(known.select("corpus_id", "id", "text", merged(F.lit(None).cast("string"), F.col("metadata")).alias("metadata"), "embedding", "pos"), ["corpus_id", "id"], ["pos"], ["text"])
     doc_id = stable_id(F.col("corpus_id"), F.col("id"))
     docs = one.select(
         doc_id.alias("document_id"), "corpus_id", F.col("id").alias("external_id"), title(F.col("metadata"), F.col("id")).alias("title"), F.lit(None).cast("string").alias("uri"),
