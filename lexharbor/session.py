@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,3 +66,15 @@ def bounded(small: DataFrame, counted: DataFrame | None = None, most_rows: int =
     """
     n = len((small if counted is None else counted).select(F.lit(1)).limit(most_rows + 1).collect())
     return F.broadcast(small) if n <= most_rows else small
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per application, for clusters whose workers have it on no path of their own."""
+    context = spark.sparkContext
+    if getattr(context, "_lexharbor_sent", None) == context.applicationId:
+        return
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="lexharbor-")  # of the driver; Spark's file server hands it on
+    archive = shutil.make_archive(os.path.join(folder, "lexharbor"), "zip", package.parent, package.name)
+    context.addPyFile(archive)
+    context._lexharbor_sent = context.applicationId
