@@ -249,7 +249,7 @@ def train(docs: DataFrame, doc: str = "doc_id", text: str = "text", lang: str =
     short = docs.where((F.length(text) <= s.sample_chars) & (F.length(text) > 0)).select(doc, F.xxhash64(F.lit(1), F.col(doc).cast("string")).alias("draw"), code.alias("code"))
     drawn = short.where(F.col("code").isNotNull()).withColumn("n", F.row_number().over(w)).where(F.col("n") <= s.per_label)
     picked = drawn.select(F.col(doc).alias("_doc"), F.col("code").alias("_code"))
-    sample = docs.join(F.broadcast(picked), F.col(doc) == F.col("_doc")).where(F.length(text) <= s.sample_chars).select(F.col(text).alias("text"), "_code", "_doc")
+    sample = docs.select(doc, text).join(F.broadcast(picked), F.col(doc) == F.col("_doc")).where(F.length(text) <= s.sample_chars).select(F.col(text).alias("text"), "_code", "_doc")
     rows = sample.limit(2 * s.per_label * len(NAMES)).collect()
     rows.sort(key=lambda r: (str(r["_doc"]), r["text"]))
     return fit([(r["text"], r["_code"]) for r in rows], bucket_weights(docs, text, s), s)

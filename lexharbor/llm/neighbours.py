@@ -8,6 +8,7 @@ Lists are compared as blocks of a bounded size.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,7 +17,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from lexharbor.operators.dedup import last_wins
 from lexharbor.session import cut
 
 
@@ -33,8 +33,9 @@ class Setting:
     store_ratio: float = 1.10  # stored where the distance is within this ratio of the least
     lists: int = 16  # lists a vector asks, at most
     ask_ratio: float = 1.22  # asked where the distance is within this ratio of the least
-    block: int = 4096  # stored vectors of a list compared by one task at a time
-    ask_block: int = 16384  # asking vectors of a list in one task
+    block: int = 4096  # stored vectors of a list compared by one task at a time, about
+    ask_block: int = 16384  # asking vectors of a list in one task, about
+    measured: int = 10_000  # of the sample that the sizes of the lists are estimated by
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -68,6 +69,39 @@ class Lists:
     centroids: np.ndarray
     graph: np.ndarray
     entries: np.ndarray
+    blocks: np.ndarray | None = None  # of each list: into how many parts its stored vectors are divided
+    ask_blocks: np.ndarray | None = None  # and its asking ones
+
+    def measure(self, sample: np.ndarray, rows: int, s: Setting) -> None:
+        """Sets the numbers of parts by what a part of the sample chooses. A wrong estimate makes parts larger or smaller, nothing else."""
+        part = sample[: s.measured]
+        _, lists, stored = self.choose(part, s)
+        each = rows / max(len(part), 1)
+        n = len(self.centroids)
+        self.blocks = np.maximum(1, np.ceil(np.bincount(lists[stored], minlength=n) * each / s.block)).astype(np.int64)
+        self.ask_blocks = np.maximum(1, np.ceil(np.bincount(lists, minlength=n) * each / s.ask_block)).astype(np.int64)
+
+    def place(self, ids: np.ndarray, x: np.ndarray, asks: np.ndarray, s: Setting) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(row, list, d, q, role) of where each vector goes: role 1 stored, 2 asking, 3 both. A stored vector goes to one part of the list's
+        stored and meets all parts of its asking ones; an asking vector the other way round."""
+        row, lists, stored = self.choose(x, s)
+        asks = asks[row]
+        mixed = (ids[row].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)
+        nd, nq = self.blocks[lists], self.ask_blocks[lists]
+        d, q = (mixed % nd.astype(np.uint64)).astype(np.int64), (mixed % nq.astype(np.uint64)).astype(np.int64)
+        whole = (nd == 1) & (nq == 1)
+        out = []
+
+        def add(at: np.ndarray, times: np.ndarray, which: str, role: np.ndarray) -> None:
+            again = np.repeat(at, times[at])
+            nth = np.arange(len(again)) - np.repeat(np.cumsum(times[at]) - times[at], times[at])
+            out.append((row[again], lists[again], nth if which == "d" else d[again], nth if which == "q" else q[again], role[again]))
+
+        role = stored + 2 * asks
+        add(np.flatnonzero(whole & (role > 0)), np.ones_like(nd), "", role)
+        add(np.flatnonzero(~whole & stored), nq, "q", np.ones_like(nd))
+        add(np.flatnonzero(~whole & asks), nd, "d", np.full_like(nd, 2))
+        return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
     def search(self, x: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """The up to `beam` nearest centroids of each row and their cosines, nearest first; -1 where there are fewer."""
@@ -205,19 +239,19 @@ def similar(df: DataFrame, k: int = 5, dim: int = 64, item: str = "chunk_id", v:
     """item, neighbour, cosine FLOAT, rank INT: for every item with a usable vector the `k` others of highest cosine, nearly always.
 
     A usable vector has `dim` finite numbers that are not all 0; all others, and rows with a NULL item, are left out. Repeated rows of an
-    item count once: the last by `latest` of its usable ones, then the greatest vector. Length does not matter. Equal cosines are ordered
+    item count once: the last by `latest` of its usable ones, then the greatest as packed bytes. Length does not matter. Equal cosines are ordered
     by the smaller item. With k or fewer usable vectors each item has all others; empty tables give no rows; other columns are not read.
 
     Vectors equal in direction are one class, searched once, of which k + 1 items are enough to answer: a third of all rows may be copies
     of one vector. Within a class the answer is exact. Approximate are only the lists that are asked; the lists themselves are compared
     whole, in blocks, however large one is. Sizes known to be bounded: the sample (`Setting.sample`), the centroids and their graph (no more
-    than sample / least_sample of them), k + 1 items of a class, one block.
+    than sample / least_sample of them), k + 1 items of a class, one block. A vector is shuffled once, to the lists it is in and asks.
     """
     spark = df.sparkSession
     names = {item: "item", v: "v", latest: "latest"}
     good = df.where(usable(df, dim, v, dim_column) & F.col(item).isNotNull()).select(*[F.col(a).alias(b) for a, b in names.items()])
-    rows = last_wins(good, ["item"], ["latest"], ["v"]).select("item", _packed("v").alias("unit"))
-    rows = cut(rows)
+    packed = good.select("item", F.struct("latest", _packed("v").alias("unit")).alias("row"))
+    rows = cut(packed.groupBy("item").agg(F.max("row").alias("row")).select("item", F.col("row.unit").alias("unit")))
     classes = cut(_classes(rows, "item", k)).withColumn("id", F.monotonically_increasing_id())  # ids stay: the partitions are written
     n = classes.count()
     share = min(1.0, s.sample / max(n, 1))
@@ -225,39 +259,28 @@ def similar(df: DataFrame, k: int = 5, dim: int = 64, item: str = "chunk_id", v:
     empty = spark.createDataFrame([], "item string, neighbour string, cosine float, rank int")
     if not picked:
         return empty
-    lists = fit(np.frombuffer(b"".join(bytes(r[0]) for r in picked), np.float32).reshape(-1, dim), n, s)
+    sample = np.frombuffer(b"".join(bytes(r[0]) for r in picked), np.float32).reshape(-1, dim)
+    lists = fit(sample, n, s)
+    lists.measure(sample, n, s)
     sent = spark.sparkContext.broadcast(lists)
     key = sent._jbroadcast.id()
 
-    def place(batches):
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            row, list_, stored = _lists(key, sent).choose(_matrix(batch.column(1), dim), s)
-            at = pa.array(row)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array(list_.astype(np.int32)), pa.array(stored), batch.column(2).take(at)],
-                names=["id", "unit", "list", "stored", "asks"],
-            )
-
-    # a class of more than k items has its neighbours within itself; it is stored, and asks nothing
-    of_class = classes.select("id", "unit", (F.size("ids") <= k).alias("asks"))
-    placed = cut(of_class.mapInArrow(place, "id long, unit binary, list int, stored boolean, asks boolean").where("stored or asks"))
-    sizes = placed.groupBy("list").agg(F.count_if("stored").alias("d"), F.count_if("asks").alias("q"))
-    sizes = sizes.select("list", F.ceil(F.col("d") / s.block).cast("int").alias("_d"), F.ceil(F.col("q") / s.ask_block).cast("int").alias("_q")).where("_d > 0 and _q > 0")
-    one = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    parts = placed.join(F.broadcast(sizes), "list")  # no more rows than centroids
-    data = parts.where("stored").select("list", "id", "unit", F.lit(True).alias("stored"), one("_d").alias("d"), F.explode(every("_q")).alias("q"))
-    asking = parts.where("asks").select("list", "id", "unit", F.lit(False).alias("stored"), F.explode(every("_d")).alias("d"), one("_q").alias("q"))
+            if batch.num_rows:
+                ids, asks = batch.column(0).to_numpy(), np.asarray(batch.column(2).to_pylist(), bool)
+                row, list_, d, q, role = _lists(key, sent).place(ids, _matrix(batch.column(1), dim), asks, s)
+                at = pa.array(row)
+                numbers = [pa.array(c.astype(np.int32)) for c in (list_, d, q)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *numbers, pa.array(role.astype(np.int8))], names=["id", "unit", "list", "d", "q", "role"])
 
     def compare(t: pa.Table) -> pa.Table:
-        ids, stored, x = t.column("id").to_numpy(), t.column("stored").to_numpy(), _matrix(t.column("unit"), dim)
-        d, q = np.flatnonzero(stored), np.flatnonzero(~stored)
+        ids, role, x = t.column("id").to_numpy(), t.column("role").to_numpy(), _matrix(t.column("unit"), dim)
+        d, q = np.flatnonzero(role & 1), np.flatnonzero(role & 2)
         d = d[np.argsort(ids[d])]
         out = [[], [], []]
         top = min(k + 1, len(d))  # one more, as a vector meets itself
-        for lo in range(0, len(q), 1024):
+        for lo in range(0, len(q) if top else 0, 1024):
             part = q[lo : lo + 1024]
             cos = x[part] @ x[d].T
             best = np.argpartition(-cos, top - 1, axis=1)[:, :top]
@@ -266,7 +289,10 @@ def similar(df: DataFrame, k: int = 5, dim: int = 64, item: str = "chunk_id", v:
         other = a != b
         return pa.table({"a": a[other].astype(np.int64), "b": b[other].astype(np.int64), "cosine": c[other].astype(np.float32)})
 
-    met = data.unionByName(asking).groupBy("list", "d", "q").applyInArrow(compare, "a long, b long, cosine float")
+    # a class of more than k items has its neighbours within itself; it is stored, and asks nothing
+    of_class = classes.select("id", "unit", (F.size("ids") <= k).alias("asks"))
+    placed = of_class.mapInArrow(place, "id long, unit binary, list int, d int, q int, role byte")
+    met = placed.groupBy("list", "d", "q").applyInArrow(compare, "a long, b long, cosine float")
     by_a = Window.partitionBy("a").orderBy(F.desc("cosine"), "b")
     nearest = met.repartition("a").groupBy("a", "b").agg(F.max("cosine").alias("cosine")).withColumn("n", F.row_number().over(by_a)).where(F.col("n") <= k).drop("n")
 
@@ -280,8 +306,9 @@ def similar(df: DataFrame, k: int = 5, dim: int = 64, item: str = "chunk_id", v:
 
     # items of one class: the least others; salted, as a class may hold a third of all rows
     salts = 16
-    shared = classes.where(F.size("ids") > 1).select("unit", "ids", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    mine = rows.withColumn("salt", F.pmod(F.xxhash64("item"), F.lit(salts)).cast("int")).join(shared, ["unit", "salt"])
+    digest = F.unhex(F.md5("unit")).alias("unit")
+    shared = classes.where(F.size("ids") > 1).select(digest, "ids", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    mine = rows.select("item", digest).withColumn("salt", F.pmod(F.xxhash64("item"), F.lit(salts)).cast("int")).join(shared, ["unit", "salt"])
     least = F.slice(F.filter("ids", lambda x: x != F.col("item")), 1, k)
     equal = mine.select("item", F.posexplode(least).alias("rank", "neighbour")).select("item", "neighbour", F.lit(1.0).cast("float").alias("cosine"), (F.col("rank") + 1).alias("rank"))
     return equal.unionByName(other)
