@@ -28,12 +28,15 @@ class Store:
     embedding: DataFrame
 
 
-def read_store(spark: SparkSession, folder: str, prefix: str = "rag_") -> Store:
-    """The tables of a folder, one row per key: of repeated rows that of the last creation, then the greatest content or vector."""
+def read_store(spark: SparkSession, folder: str, prefix: str = "rag_", repeated: bool = True) -> Store:
+    """The tables of a folder, one row per key: of repeated rows that of the last creation, then the greatest content or vector.
+
+    repeated=False reads tables without repeated rows, such as `write_store` leaves, as they are: nothing is shuffled."""
     t = lambda name: spark.read.parquet(f"{folder}/{prefix}{name}.parquet")
-    return Store(
-        t("corpus"), t("document"), last_wins(t("chunk"), ["chunk_id"], ["created_at"], ["content"]), last_wins(t("embedding").where(F.size("v") > 0), ["chunk_id"], ["created_at"], ["v"])
-    )
+    chunk, embedding = t("chunk"), t("embedding").where(F.size("v") > 0)
+    if repeated:
+        chunk, embedding = last_wins(chunk, ["chunk_id"], ["created_at"], ["content"]), last_wins(embedding, ["chunk_id"], ["created_at"], ["v"])
+    return Store(t("corpus"), t("document"), chunk, embedding)
 
 
 def write_store(store: Store, folder: str, prefix: str = "rag_") -> None:

@@ -124,6 +124,8 @@ def test_store_on_disk(spark, tmp_path):
     st.write_store(full, str(tmp_path / "new"))
     back = st.read_store(spark, str(tmp_path / "new"))
     assert {tuple(r) for r in back.chunk.collect()} == {tuple(r) for r in full.chunk.collect()} and back.embedding.count() == 1
+    as_is = st.read_store(spark, str(tmp_path / "new"), repeated=False)
+    assert {tuple(r) for r in as_is.chunk.collect()} == {tuple(r) for r in full.chunk.collect()} and as_is.embedding.count() == 1
 
 
 def test_stream_embeds_each_id_once(spark, tmp_path):
