@@ -24,7 +24,8 @@ from lexharbor.session import cut
 class Setting:
     """What the index is built by. Every vector is indexed; only the centroids are fitted on a sample."""
 
-    sample: int = 40_000  # vectors the centroids are fitted on, at most about so many
+    sample: int = 40_000  # vectors the centroids are fitted on, about; more where lists of list_size need more centroids
+    most_sample: int = 1_000_000  # but no more than about so many, which is the bound of what the driver holds
     list_size: int = 400  # vectors a list should hold before replicas
     least_sample: int = 12  # of the sample in a list, at least, so that a mean is one
     degree: int = 24  # near centroids each centroid is linked to
@@ -33,8 +34,8 @@ class Setting:
     store_ratio: float = 1.10  # stored where the distance is within this ratio of the least
     lists: int = 16  # lists a vector asks, at most
     ask_ratio: float = 1.22  # asked where the distance is within this ratio of the least
-    block: int = 4096  # stored vectors of a list compared by one task at a time, about
-    ask_block: int = 16384  # asking vectors of a list in one task, about
+    block: int = 32_768  # stored vectors of a list compared by one task at a time, about
+    ask_block: int = 65_536  # asking vectors of a list in one task, about
     measured: int = 10_000  # of the sample that the sizes of the lists are estimated by
 
 
@@ -184,7 +185,7 @@ def fit(sample: np.ndarray, rows: int, s: Setting, seed: int = 7) -> Lists:
     tops = np.array(tops)
     entries = np.array([np.flatnonzero(tops == t)[0] for t in np.unique(tops)])
     degree = min(s.degree, len(c) - 1)
-    graph = np.full((len(c), degree + len(entries)), -1, np.int64)
+    graph = np.full((len(c), degree + len(entries)), -1, np.int32)
     for lo in range(0, len(c), 1024):
         cos = c[lo : lo + 1024] @ c.T
         cos[np.arange(len(cos)), np.arange(lo, lo + len(cos))] = -2
@@ -254,12 +255,13 @@ def similar(df: DataFrame, k: int = 5, dim: int = 64, item: str = "chunk_id", v:
     rows = cut(packed.groupBy("item").agg(F.max("row").alias("row")).select("item", F.col("row.unit").alias("unit")))
     classes = cut(_classes(rows, "item", k)).withColumn("id", F.monotonically_increasing_id())  # ids stay: the partitions are written
     n = classes.count()
-    share = min(1.0, s.sample / max(n, 1))
-    picked = classes.where(F.pmod(F.xxhash64("unit"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))).select("unit").collect() if share < 1 else classes.select("unit").collect()
+    share = min(1.0, min(s.most_sample, max(s.sample, n * s.least_sample // s.list_size)) / max(n, 1))
+    drawn = F.pmod(F.xxhash64("unit"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
+    picked = (classes.where(drawn) if share < 1 else classes).select("unit").toArrow().column("unit")
     empty = spark.createDataFrame([], "item string, neighbour string, cosine float, rank int")
-    if not picked:
+    if not len(picked):
         return empty
-    sample = np.frombuffer(b"".join(bytes(r[0]) for r in picked), np.float32).reshape(-1, dim)
+    sample = _matrix(picked, dim)
     lists = fit(sample, n, s)
     lists.measure(sample, n, s)
     sent = spark.sparkContext.broadcast(lists)
@@ -280,8 +282,9 @@ def similar(df: DataFrame, k: int = 5, dim: int = 64, item: str = "chunk_id", v:
         d = d[np.argsort(ids[d])]
         out = [[], [], []]
         top = min(k + 1, len(d))  # one more, as a vector meets itself
-        for lo in range(0, len(q) if top else 0, 1024):
-            part = q[lo : lo + 1024]
+        step = max(16, min(1024, 8_000_000 // max(len(d), 1)))
+        for lo in range(0, len(q) if top else 0, step):
+            part = q[lo : lo + step]
             cos = x[part] @ x[d].T
             best = np.argpartition(-cos, top - 1, axis=1)[:, :top]
             out[0].append(np.repeat(ids[part], top)), out[1].append(ids[d][best].ravel()), out[2].append(np.take_along_axis(cos, best, 1).ravel())
