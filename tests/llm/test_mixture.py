@@ -38,6 +38,14 @@ def test_reachable_total_meets_the_shares(spark):
         assert abs(told[s].actual_share - want) < 0.1
 
 
+def test_nulls_in_any_column(spark):
+    docs = spark.createDataFrame([(None, "some words", "a", "x"), (None, "some words", "a", "x"), (3, None, "A ", "x"), (4, "more words", None, "x")], "doc_id long, text string, source string, copy string")
+    targets = spark.createDataFrame([("a", None, 2), ("b", 0.5, None), ("a ", 0.5, None), (None, None, None), ("c", -1.0, -1)], "source string, target_share double, max_repeats int")
+    told = {r.source: r for r in shares(docs, targets).collect()}
+    assert set(told) == {"a", "b", "c"} and told["a"].max_repeats == 1 and told["a"].documents == 3 and told["c"].rate == 0
+    assert {(r.doc_id, r.source) for r in mix(docs, targets).collect()} <= {(None, "a"), (3, "a")}
+
+
 def test_empty_tables(spark):
     docs, targets = tables(spark)
     assert mix(docs.limit(0), targets).count() == 0
