@@ -101,10 +101,10 @@ def normalized_query(query: Column, language: Column | None = None, english: Col
 
 @dataclass(frozen=True)
 class TextQuery:
-    """What a text must hold: all of `terms`, one of each of `either`, each of `phrases`, none of `without`."""
+    """What a text must hold: all of `terms`, one phrase of each of `either`, each of `phrases`, none of `without`."""
 
     terms: tuple[str, ...] = ()
-    either: tuple[tuple[str, ...], ...] = ()
+    either: tuple[tuple[tuple[str, ...], ...], ...] = ()
     phrases: tuple[tuple[str, ...], ...] = ()
     without: tuple[str, ...] = ()
 
@@ -136,31 +136,32 @@ def parse_all(text: str | None, strict: bool = False) -> TextQuery | None:
 
 
 def parse_web(text: str | None) -> TextQuery | None:
-    """The query as written for a web search: words, "phrases", or, -without. Never an error; None if nothing is asked."""
-    terms: list[str] = []
-    groups: list[list[str]] = []
-    phrases: list[tuple[str, ...]] = []
+    """The query as written for a web search: words, "phrases", or between two of them, -without. Never an error; None if nothing is asked.
+
+    An "or" that does not stand between two words or phrases is passed over."""
+    groups: list[list[tuple[str, ...]]] = []  # of each what may be there
     without: list[str] = []
-    join = False
+    joins = after_positive = False
     for minus, quoted, word in re.findall(r'(-?)"([^"]*)"|(\S+)', text or ""):
         if word.lower() == "or":
-            join = bool(terms or groups)
+            joins = after_positive
             continue
         negative = minus == "-" or (word.startswith("-") and len(word) > 1)
         found = term_list(quoted or word)
         if negative:
             without += found
-        elif len(found) > 1 and quoted:
-            phrases.append(tuple(found))
-        elif join and found:
-            if groups and not terms:
-                groups[-1] += found
+        for item in [] if negative or not found else [tuple(found)] if quoted else [(t,) for t in found]:
+            if joins:
+                groups[-1].append(item)
             else:
-                groups.append([terms.pop(), *found] if terms else found)
-        else:
-            terms += found
-        join = False
-    query = TextQuery(tuple(dict.fromkeys(terms)), tuple(tuple(dict.fromkeys(g)) for g in groups), tuple(phrases), tuple(dict.fromkeys(without)))
+                groups.append([item])
+            joins = False
+        after_positive, joins = bool(found) and not negative, False
+    single = [g[0] for g in groups if len(g) == 1]
+    query = TextQuery(
+        tuple(dict.fromkeys(g[0] for g in single if len(g) == 1)), tuple(tuple(dict.fromkeys(g)) for g in groups if len(g) > 1),
+        tuple(dict.fromkeys(g for g in single if len(g) > 1)), tuple(dict.fromkeys(without)),
+    )
     return None if query.empty else query
 
 

@@ -43,7 +43,10 @@ def matches(found: Column, query: TextQuery) -> Column:
     for t in query.terms:
         ok = ok & F.array_contains(found, t)
     for group in query.either:
-        ok = ok & F.arrays_overlap(found, F.array(*map(F.lit, group)))
+        one = F.lit(False)
+        for p in group:
+            one = one | (F.array_contains(found, p[0]) if len(p) == 1 else _holds(found, p))
+        ok = ok & one
     for p in query.phrases:
         ok = ok & _holds(found, p)
     for t in query.without:
@@ -52,7 +55,7 @@ def matches(found: Column, query: TextQuery) -> Column:
 
 
 def positive_terms(query: TextQuery) -> list[str]:
-    return list(dict.fromkeys([*query.terms, *[t for g in query.either for t in g], *[t for p in query.phrases for t in p]]))
+    return list(dict.fromkeys([*query.terms, *[t for g in query.either for p in g for t in p], *[t for p in query.phrases for t in p]]))
 
 
 def cover_density(hits: DataFrame, terms: Sequence[str], key: str = "chunk_id") -> DataFrame:

@@ -17,8 +17,7 @@ from lexharbor.operators.pages import code_lines, kept_pages
 from lexharbor.session import table
 
 TERMS = ("search", "field")
-WEB = '"print queue" or toolbar window -administrators'
-WEB_PHRASE = '"print queue" toolbar -administrators'
+WEB = '"print queue" or timer toolbar -administrators'
 K = {"commands": 3, "functions": 2, "programming": 4}
 
 
@@ -66,7 +65,7 @@ def fts_cover_density(spark, d):
 def web_query(spark, d):
     s = _store(spark, d)
     found = s.chunk.select("chunk_id", tokens(F.col("content")).alias("t"))
-    return found.where(retrieval.matches(F.col("t"), queries.parse_web(WEB_PHRASE))).select("chunk_id", F.size("t").alias("n_tokens"))
+    return found.where(retrieval.matches(F.col("t"), queries.parse_web(WEB))).select("chunk_id", F.size("t").alias("n_tokens"))
 
 
 def hybrid_rrf(spark, d):
@@ -313,6 +312,15 @@ def chunk_manual(spark, d):
     return chunking.chunk_reference(docs, "functions").select("id", F.md5("text").alias("text_md5"), "metadata.function_group", "metadata.platform", "metadata.part")
 
 
+GUIDE = "\n".join(["## Early", "lost " * 40, "## **Chapter 2—Lists**", "## • in short", "few", "## First list", "one two " * 20, "## Notes", "left out " * 30, "## **Chapter 4—Tools**", "kept " * 31, "## Hidden", "left out " * 30, "## **Chapter 5—Files**", "## Große", "word " * 900])
+
+
+def chunk_guide(spark, d):
+    """The chunks of a small guide."""
+    docs = spark.createDataFrame([("g", GUIDE)], "doc string, md string")
+    return chunking.chunk_guide(docs).select("id", F.md5("text").alias("text_md5"), "metadata.chapter_number", "metadata.section", "metadata.word_count", "metadata.part")
+
+
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     return multi_corpus_topk(spark, d)
 
@@ -322,7 +330,7 @@ _ALL = (
     single_corpus_sum_k, multi_corpus_batch_queries, batch_dense, inverted_index, word_window_split, min_word_filter, chunk_stats_by_corpus, id_occurrence_suffix,
     chapter_carry_forward, boundary_lookahead, heading_strip, clean_text, markdown_metadata, slugify, german_detect, german_rewrite, query_normalize, preset_k, pending_antijoin,
     upsert_documents, insert_ignore, stale_cleanup, cascade_orphans, last_wins_dedup, store_violations, title_fallback, source_labels, context_text, metadata_filter, import_counters,
-    hash_column, preview_text, page_code_lines, embed_hash, chunk_manual,
+    hash_column, preview_text, page_code_lines, embed_hash, chunk_manual, chunk_guide,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 
@@ -435,7 +443,7 @@ SQL = {
     "fts_match_and": f"WITH {_STORE}, {_TOKENS} SELECT chunk_id FROM toks WHERE list_has_all(t, ['search', 'field', 'toolbar'])",
     "fts_single_term_tf": f"WITH {_STORE}, {_text(('toolbar',))} SELECT chunk_id, document_id, score AS rank FROM scored WHERE kind = 'programming' ORDER BY score DESC, chunk_id LIMIT 20",
     "fts_cover_density": f"WITH {_STORE}, {_text(TERMS)} SELECT chunk_id, corpus_name, score FROM scored",
-    "web_query": f"WITH {_STORE}, {_TOKENS} SELECT chunk_id, len(t)::INT AS n_tokens FROM toks WHERE list_contains(t, 'toolbar') AND NOT list_contains(t, 'administrators') AND contains(' ' || array_to_string(t, ' ') || ' ', ' print queue ')",
+    "web_query": f"WITH {_STORE}, {_TOKENS} SELECT chunk_id, len(t)::INT AS n_tokens FROM toks WHERE list_contains(t, 'toolbar') AND NOT list_contains(t, 'administrators') AND (list_contains(t, 'timer') OR contains(' ' || array_to_string(t, ' ') || ' ', ' print queue '))",
     "hybrid_rrf": _hybrid("kind = 'programming'") + "SELECT chunk_id, r.document_id, title, rrf_score, dense_rank, fts_rank FROM rrf r JOIN doc USING (document_id) WHERE place <= 10",
     "hybrid_inline_small_pool": _hybrid("kind = 'programming'", "12", "12") + "SELECT chunk_id, rrf_score, dense_rank, fts_rank FROM rrf WHERE place <= 12",
     "hybrid_dense_only": f"WITH {_STORE}, {_DENSE}, dr AS (SELECT *, row_number() OVER (ORDER BY dist, chunk_id) AS dense_rank FROM near WHERE kind = 'functions') SELECT chunk_id, round(1e0 / (60 + dense_rank), 12) AS rrf_score, dense_rank, NULL::INT AS fts_rank FROM dr WHERE dense_rank <= 10",

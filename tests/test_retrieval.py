@@ -65,7 +65,7 @@ def test_text_scores(spark, made, texts):
 def test_matches(spark):
     df = spark.createDataFrame([(["red", "big", "box"],), (["box", "red"],), ([],), (["lamp"],)], "t array<string>")
     count = lambda text: df.where(retrieval.matches(F.col("t"), parse_web(text))).count()
-    assert [count(q) for q in ("red box", '"red big" box', '"red box"', "lamp or box", "red -big", "lamp or red box")] == [2, 1, 0, 3, 1, 2]
+    assert [count(q) for q in ("red box", '"red big" box', '"red box"', "lamp or box", "red -big", "lamp or red box", '"red big" or lamp')] == [2, 1, 0, 3, 1, 2, 2]
 
 
 def cosines(model, texts, query):
@@ -138,8 +138,9 @@ def test_index_holds_every_word(spark, made, texts):
 
 def test_query_texts():
     assert parse_all(" red  Box red ") == TextQuery(("red", "box")) and parse_all("") is None and parse_all("o'x") is None and parse_all("a\tb") == TextQuery(("a", "b"))
-    assert parse_web('a "b c" -d or e') == TextQuery(("a", "e"), (), (("b", "c"),), ("d",)) or parse_web('a "b c" -d or e') is not None
-    assert parse_web("a or b c") == TextQuery(("c",), (("a", "b"),)) and parse_web(' "" - ') is None
+    assert parse_web('a "b c" -d or e') == TextQuery(("a", "e"), (), (("b", "c"),), ("d",)) and parse_web("or") is None
+    assert parse_web("a or b c") == TextQuery(("c",), ((("a",), ("b",)),)) and parse_web(' "" - ') is None and parse_web(None) is None
+    assert parse_web('"a b" or c OR d -"e f"') == TextQuery((), ((("a", "b"), ("c",), ("d",)),), (), ("e", "f"))
     assert [normalize_k(x, 7) for x in (None, "abc", 0, 31, 2.5, "3", float("nan"), float("inf"), "")] == [1, 7, 1, 30, 3, 3, 7, 7, 1]
     assert resolve("concepts", {"query": "x", "deep": True}).k == {"commands": 2, "functions": 2, "programming": 20}
     assert resolve("concepts", {"query": "x"}).kind == "programming" and resolve("docs", {"query": "x", "mode": "concept", "k_programming": 14}).k["programming"] == 14
