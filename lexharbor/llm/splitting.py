@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -25,6 +26,7 @@ _OPEN = re.compile(r"\s*(?:(```+|~~~+)|<(pre|table|ul|ol|syntaxhighlight|nowiki|
 _ITEM = re.compile(r"\s*(?:[-•+]|\*{1,4}|#{1,4}|\d{1,3}[.)]|<li\b|\\item\b)\s*\S", re.I)
 _SENTENCE = re.compile(r"(?<=[.!?…。！？])[\"'”’)\]]*\s+(?=\S)|(?<=[。！？])")
 _WORD = re.compile(r"\s+")
+_BLANK = re.compile(r"(?:\r\n|\r|\n)[ \t]*(?:\r\n|\r|\n)[ \t]*$")
 #: Depths of the tree below the six of headings.
 _BLOCK, _ENTRY, _ROW, _SAYING, _GAP, _ANY = 7, 8, 9, 10, 11, 12
 
@@ -64,24 +66,40 @@ def boundaries(text: str) -> list[tuple[int, int]]:
                 closer, opened = end, len(out)
         blank = False
     if closer:  # never closed: what follows is text as any other
-        rest = text[out[opened - 1][0] :]
-        out[opened:] = [(at, _BLOCK if re.search(r"(?:\r\n|\r|\n)[ \t]*(?:\r\n|\r|\n)[ \t]*$", rest[: at - out[opened - 1][0]][-200:]) else d) for at, d in out[opened:]]
+        first = out[opened - 1][0]
+        out[opened:] = [(at, _BLOCK if _BLANK.search(text[max(first, at - 200) : at]) else d) for at, d in out[opened:]]
     return out
 
 
-def _pack(spans: list[tuple[int, int]], limit: int) -> list[tuple[int, int]]:
-    """Neighbouring spans merged while they stay within the limit."""
+def _glued(marks: Sequence[tuple[int, int]], end: int, limit: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """(the boundaries without those directly after a heading, the spans of headings in which nothing may be cut: start, where their text begins).
+
+    Headings that follow each other are one, as high as the highest of them, as long as they fit the limit."""
     out: list[tuple[int, int]] = []
-    for a, b in spans:
-        if out and b - out[-1][0] <= limit:
-            out[-1] = (out[-1][0], b)
+    whole: list[tuple[int, int]] = []
+    after = False  # whether the boundary before is a heading
+    for at, depth in marks:
+        heading = depth < _BLOCK
+        if after and at - whole[-1][0] <= limit:
+            whole[-1] = (whole[-1][0], at)
+            out[-1] = (out[-1][0], min(out[-1][1], depth))
         else:
-            out.append((a, b))
-    return out
-
-
-def _within(text: str, a: int, b: int, depth: int, marks: Sequence[tuple[int, int]], limit: int) -> list[tuple[int, int]]:
-    """The packed spans of the node [a, b) at `depth`; marks: its boundaries."""
+            if after and whole[-1][0] == out[-1][0] and whole[-1][1] == end:
+                whole.pop()  # too long by itself
+            out.append((at, depth))
+            if heading:
+                whole.append((at, end))
+        after = heading
+    if after and end - whole[-1][0] > limit:
+        whole.pop()
+    return out, whole
+
+
+def _within(text: str, a: int, b: int, depth: int, marks: Sequence[tuple[int, int]], whole: Sequence[tuple[int, int]], limit: int) -> list[tuple[int, int]]:
+    """The packed spans of the node [a, b) at `depth`; marks: its boundaries, whole: spans that hold no cut.
+
+    Neighbouring children are merged while they stay within the limit; the pieces of a child that does not fit are its own and merged with none
+    of its siblings."""
     if b - a <= limit:
         return [(a, b)]
     if depth <= _ROW:
@@ -101,34 +119,50 @@ def _within(text: str, a: int, b: int, depth: int, marks: Sequence[tuple[int, in
             here.append(at)
         return list(zip([a, *here], [*here, b], strict=True))
     here = sorted({x for x in here if a < x < b})
+    if depth > _ROW and whole:
+        kept, i = [], bisect_left(whole, (a, 0))
+        for x in here:
+            while i < len(whole) and whole[i][1] < x:
+                i += 1
+            if i == len(whole) or x <= whole[i][0]:
+                kept.append(x)
+        here = kept
     if not here:
-        return _within(text, a, b, depth + 1, marks, limit)
-    spans, i = [], 0
+        return _within(text, a, b, depth + 1, marks, whole, limit)
+    spans: list[tuple[int, int]] = []
+    open_, i = False, 0  # whether the last span may grow
     for lo, hi in zip([a, *here], [*here, b], strict=True):
-        if depth < _ROW and hi - lo > limit:
-            while i < len(marks) and marks[i][0] < lo:
-                i += 1
-            j = i
-            while j < len(marks) and marks[j][0] < hi:
-                j += 1
-            spans += _within(text, lo, hi, depth + 1, marks[i:j], limit)
-            i = j
+        if hi - lo > limit:
+            own: Sequence[tuple[int, int]] = ()
+            if depth < _ROW:
+                while i < len(marks) and marks[i][0] < lo:
+                    i += 1
+                j = i
+                while j < len(marks) and marks[j][0] < hi:
+                    j += 1
+                own, i = marks[i:j], j
+            spans += _within(text, lo, hi, depth + 1, own, whole, limit)
+            open_ = False
+        elif open_ and hi - spans[-1][0] <= limit:
+            spans[-1] = (spans[-1][0], hi)
         else:
-            spans += _within(text, lo, hi, depth + 1, (), limit)
-    return _pack(spans, limit)
+            spans.append((lo, hi))
+            open_ = True
+    return spans
 
 
 def pieces(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int, int]]:
     """(start, end) of the pieces of a text longer than `limit`; each starts `overlap` before the end of the one before.
 
     The text's headings, blocks, entries and rows make a tree, with sentences, words and characters below; siblings are merged bottom-up
-    while they fit, and only nodes that do not fit are entered. Characters are code points.
+    while they fit, and only nodes that do not fit are entered. A heading stays with the text after it: a piece ends in one only if the text
+    does, or if the heading alone is longer than the limit. Characters are code points.
     """
     if not 0 <= overlap < limit:
         raise ValueError("overlap must be at least 0 and less than limit")
     if len(text) <= limit:
         return [(0, len(text))]
-    spans = _within(text, 0, len(text), 1, boundaries(text), limit - overlap)
+    spans = _within(text, 0, len(text), 1, *_glued(boundaries(text), len(text), limit - overlap), limit - overlap)
     return [(max(0, a - overlap), b) for a, b in spans]
 
 

@@ -1,9 +1,11 @@
 import re
+import time
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from lexharbor.llm.splitting import pieces, split_oversized
+from lexharbor.llm.splitting import _BLOCK, boundaries, pieces, split_oversized
 
 PART = st.sampled_from(["# Head\n", "2.4 Merge key table\n\n", "A sentence here. ", "• item one\n", "\n\n", "\r\n", "word ", "x" * 70, "```\ncode a\n\ncode b\n```\n", "é" * 3, "```\n", "日本。", "\\section{A}\n", "<ul>\n<li>a</li>\n</ul>\n", "\r"])
 
@@ -56,3 +58,40 @@ def test_rows(spark):
     assert sum(r.chunk_id == "a" and r.chunk_index == 0 for r in got) == 2
     assert split_oversized(df.limit(0)).count() == 0
     assert re.search(r"words\. $|\n$", next(r.content for r in got if r.chunk_id == "a"))
+
+
+def _last_line_is_heading(text, start, end):
+    """Whether the last line of text[start:end] that is not blank is a heading of the text, and text follows it."""
+    marks = [m for m in boundaries(text) if m[0] < end]
+    return bool(marks) and marks[-1][1] < _BLOCK and bool(text[end:].strip())
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(PART | st.sampled_from(["## Which one is it?\n", "<h2>Head</h2>\n", "=== Head ===\n", "Many words. " * 9, "many words " * 9 + "\n\n"]), min_size=20, max_size=120))
+def test_no_piece_ends_in_a_heading(parts):
+    text = "".join(parts)
+    runs = [len(run) for run in re.findall(r"(?:[^\S\r\n]*(?:#+ Head|## Which one is it\?|2\.4 Merge key table|\\\\section\{A\}|<h2>Head</h2>|=== Head ===)\s*)+", text)]
+    if len(text) > 300 and max(runs, default=0) < 150:
+        assert not any(_last_line_is_heading(text, a, b) for a, b in pieces(text, 300, 10)[:-1])
+
+
+def test_heading_goes_with_its_text():
+    body = "Some words of it stand here. " * 30
+    text = f"# Title one\n\n{body}\n\n# Title two\n\n{body}\n\n# Title three\n\n## Which?\n\n{body}"
+    got = [text[a:b] for a, b in pieces(text, 600, 0)]
+    assert [p.split("\n")[0] for p in got if p.startswith("# ")] == ["# Title one", "# Title two", "# Title three"]
+    assert not any(re.search(r"(?:# Title \w+|## Which\?)\s*$", p) for p in got)
+
+
+@pytest.mark.parametrize("unit", ["```\n\n", "<pre>\nx\n\n", "# Head\n", "= a ", " ", "\n", "A B", "word. ", "1.1 ", "\\begin{x}\n"])
+def test_time_is_linear(unit):
+    def seconds(n):
+        took = []
+        for _ in range(2):
+            start = time.perf_counter()
+            pieces("```x\n" + "line of code\n" * (n // 13) if unit == "```\n\n" else unit * (n // len(unit)))
+            took.append(time.perf_counter() - start)
+        return min(took)
+
+    short = seconds(200_000)
+    assert seconds(800_000) < 9 * short + 0.3
