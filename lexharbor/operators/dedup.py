@@ -4,21 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def null_key(keys: Sequence[str]) -> Column:
+    """NULL, but for rows with a NULL in their key a number of their own, so that none of them is taken for a repetition."""
+    some = F.lit(False)
+    for k in keys:
+        some = some | F.col(k).isNull()
+    return F.when(some, F.monotonically_increasing_id())
+
+
 def last_wins(df: DataFrame, keys: Sequence[str], latest: Sequence[str], among: Sequence[str] = ()) -> DataFrame:
     """Of several rows of a key the one with the greatest `latest` columns, then the greatest `among` columns; NULL is least.
 
-    Rows equal in all of these are repeated rows and count once. A row with a NULL in its key is no repetition of any other and stays.
-    All columns of `df` come out, in their order; an empty table gives an empty table. The aggregation's partial step runs before the
-    shuffle, so a key with very many rows is reduced where its rows lie.
+    Of rows that are equal in all of these, each further column has its greatest value, so that the result is the same whatever the order of
+    the rows. A row with a NULL in its key is no repetition of any other and stays. All columns of `df` come out, in their order; an empty
+    table gives an empty table. The aggregation's partial step runs before the shuffle, so a key with very many rows is reduced where its rows
+    lie. Each column is picked by itself: columns nobody asks for are neither read nor shuffled.
     """
-    names = df.columns
-    known = F.lit(True)
-    for k in keys:
-        known = known & F.col(k).isNotNull()
-    order = F.struct(*[F.col(c) for c in [*latest, *among]]) if [*latest, *among] else F.lit(0)
-    best = df.where(known).groupBy(*keys).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in names]), order).alias("_row"))
-    return best.select("_row.*").unionByName(df.where(~known))
+    order = [*latest, *among]
+    picked = [F.max(F.struct(*[F.col(f"`{c}`") for c in order], F.col(f"`{c}`").alias("_value"))).getField("_value").alias(c) for c in df.columns if c not in keys]
+    best = df.groupBy(*keys, null_key(keys).alias("_alone")).agg(*picked, F.count(F.lit(1)).alias("_rows"))
+    return best.select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def newest(df: DataFrame, keys: Sequence[str], latest: Sequence[str], **columns: Column) -> DataFrame:
+    """keys and `columns` of the newest row of each key, as `last_wins`, but of rows equally new the one with the greatest columns.
+
+    The columns are computed where the rows lie; what is shuffled are the keys, `latest` and the columns, not what they are computed from."""
+    rows = df.select(*keys, *[F.col(c).alias(f"_{c}") for c in latest], null_key(keys).alias("_alone"), *[c.alias(n) for n, c in columns.items()])
+    best = rows.groupBy(*keys, "_alone").agg(F.max(F.struct(*[f"_{c}" for c in latest], *columns)).alias("_best"))
+    return best.select(*keys, *[F.col("_best")[n].alias(n) for n in columns])

@@ -1,22 +1,25 @@
 """Search by vectors, by text, and by both.
 
-Candidates carry ids only; contents are joined after the ranking. Each corpus has its own ranks, so one query over many corpora is one plan
-with windows over the corpus, whose limit is applied before the shuffle."""
+Distances and scores are computed where the rows lie; what is shuffled and ranked are ids with them, and contents are joined to the hits. Each
+corpus has its own ranks, so one query over many corpora is one plan with a window over the corpus, whose limit is applied before the shuffle."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexharbor.functions.queries import TextQuery, parse_all, parse_web
 from lexharbor.functions.text import tokens
 from lexharbor.functions.vectors import cosine, distance
 from lexharbor.operators.store import Store
-from lexharbor.session import bounded
+from lexharbor.session import bounded, cut
 
 # The defaults of the searches.
 TOP_K, TEXT_TOP_K, CANDIDATES, RRF_K = 10, 20, 40, 60
@@ -54,54 +57,80 @@ def matches(found: Column, query: TextQuery) -> Column:
     return ok
 
 
-def positive_terms(query: TextQuery) -> list[str]:
-    return list(dict.fromkeys([*query.terms, *[t for g in query.either for p in g for t in p], *[t for p in query.phrases for t in p]]))
+def groups(query: TextQuery) -> list[list[tuple[str, ...]]]:
+    """What a text must hold one of each of: words and phrases, as tuples of words."""
+    return [*[[(t,)] for t in query.terms], *[list(g) for g in query.either], *[[p] for p in query.phrases]]
 
 
-def cover_density(hits: DataFrame, terms: Sequence[str], key: str = "chunk_id") -> DataFrame:
-    """key, score: the cover density of each text; hits: key, pos, term of every occurrence of the terms.
+def density(found: list[str], wanted: Sequence[Sequence[tuple[str, ...]]]) -> float:
+    """The cover density of a text: each shortest span that holds one of each group of `wanted` adds 1 / (1 + words in it that are none of the
+    query's). Of one word that is its frequency. Time is linear in the text."""
+    words = {w for g in wanted for p in g for w in p}
+    ends: dict[str, list[tuple[int, tuple[str, ...]]]] = {}  # last word of a phrase: (group, phrase)
+    for i, g in enumerate(wanted):
+        for p in g:
+            ends.setdefault(p[-1], []).append((i, p))
+    start = [-1] * len(wanted)  # where the last occurrence of each group begins
+    seen = [0]  # how many of the query's words stand before each position
+    left, total = -1, 0.0
+    for at, word in enumerate(found):
+        seen.append(seen[-1] + (word in words))
+        hit = False
+        for i, p in ends.get(word, ()):
+            first = at + 1 - len(p)
+            if first >= 0 and (len(p) == 1 or tuple(found[first : at + 1]) == p):
+                start[i], hit = max(start[i], first), True
+        if hit and min(start) > left:
+            left = min(start)
+            total += 1 / (1 + (at + 1 - left) - (seen[at + 1] - seen[left]))
+    return total
 
-    Each shortest span that holds all terms adds 1 / (1 + words in it that are none of the terms). Of one term that is its frequency.
-    """
-    w = Window.partitionBy(key).orderBy("pos")
-    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
-    last = [F.max(F.when(F.col("term") == t, F.struct("pos", "n"))).over(so_far) for t in terms]
-    numbered = hits.withColumn("n", F.row_number().over(w))
-    left = numbered.withColumn("_last", F.array(*last)).where(~F.exists("_last", lambda x: x.isNull()))
-    left = left.withColumn("_left", F.array_min("_last"))
-    spans = left.groupBy(key, F.col("_left.pos").alias("l"), F.col("_left.n").alias("ln")).agg(F.min(F.struct("pos", "n")).alias("r"))
-    noise = (F.col("r.pos") - F.col("l")) - (F.col("r.n") - F.col("ln"))
-    return spans.groupBy(key).agg(F.round(F.sum(F.lit(1.0) / (1 + noise)), DECIMALS).alias("score"))
+
+def text_score(found: Column, query: TextQuery) -> Column:
+    """The cover density of a text with these tokens, NULL where it does not answer the query; only texts that do leave the JVM."""
+    wanted = groups(query)
+
+    @F.arrow_udf(T.DoubleType())
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else round(density(t, wanted), DECIMALS) for t in texts.to_pylist()], pa.float64())
+
+    return score(F.when(matches(found, query), found))
 
 
 def text_scores(store: Store, query: TextQuery, names: Sequence[str] | None = None) -> DataFrame:
-    """chunk_id, document_id, corpus_name, score of all chunks that answer the query. With alternatives ("or") the score counts all occurrences."""
-    found = store.chunk.select("chunk_id", "document_id", tokens(F.col("content")).alias("tokens")).where(matches(F.col("tokens"), query))
-    of = found.join(_documents(store, names), "document_id")
-    terms = positive_terms(query)
-    hits = of.select("chunk_id", F.posexplode("tokens").alias("pos", "term")).where(F.col("term").isin(*terms))
-    scores = cover_density(hits, terms) if not query.either else hits.groupBy("chunk_id").agg(F.count(F.lit(1)).cast("double").alias("score"))
-    return of.select("chunk_id", "document_id", "corpus_name").join(scores, "chunk_id")
+    """chunk_id, document_id, corpus_name, score of all chunks that answer the query; one pass over the texts, of which only scores are shuffled."""
+    scored = store.chunks(document_id=F.col("document_id"), score=text_score(tokens(F.col("content")), query)).where("score IS NOT NULL")
+    return scored.join(_documents(store, names), "document_id").select("chunk_id", "document_id", "corpus_name", "score")
+
+
+def _distances(store: Store, vector: Sequence[float]) -> DataFrame:
+    far = store.vectors(dist=F.when(F.size("v") == len(vector), distance(F.col("v"), vector)))
+    return far.where(F.col("dist").isNotNull() & ~F.isnan("dist"))
 
 
 def dense_scores(store: Store, vector: Sequence[float], names: Sequence[str] | None = None) -> DataFrame:
     """chunk_id, document_id, corpus_name, dist of all embedded chunks whose vector has the query's size and a direction."""
-    far = store.embedding.where(F.size("v") == len(vector)).select("chunk_id", distance(F.col("v"), vector).alias("dist")).where(F.col("dist").isNotNull() & ~F.isnan("dist"))
-    return far.join(store.chunk.select("chunk_id", "document_id"), "chunk_id").join(_documents(store, names), "document_id").select("chunk_id", "document_id", "corpus_name", "dist")
+    of = _distances(store, vector).join(store.chunks(document_id=F.col("document_id")), "chunk_id")
+    return of.join(_documents(store, names), "document_id").select("chunk_id", "document_id", "corpus_name", "dist")
 
 
-def _details(store: Store, hits: DataFrame) -> DataFrame:
-    chunk = store.chunk.select("chunk_id", "chunk_index", "content", "meta")
+def _details(store: Store, hits: DataFrame, most: int | None) -> DataFrame:
+    """The hits, of which there are at most `most` (None: any number), with contents: rows of other chunks are left out where they lie."""
+    few = F.broadcast if most is not None and most <= 10_000 else lambda df: df
+    ids = few(hits.select("chunk_id"))
+    own = replace(store, chunk=store.chunk.join(ids, "chunk_id", "left_semi"), stored=store.stored and (store.stored[0].join(ids, "chunk_id", "left_semi"), store.stored[1]))
+    chunk = own.chunks(chunk_index=F.col("chunk_index"), content=F.col("content"), meta=F.col("meta"))
     doc = store.document.select("document_id", "title", "uri", F.col("meta").alias("doc_meta"))
-    return hits.join(chunk, "chunk_id").join(doc, "document_id")
+    return chunk.join(few(few(hits).join(doc, "document_id")), "chunk_id")
 
 
-def dense_search(store: Store, vector: Sequence[float], corpus: str, top_k: int = TOP_K, min_score: float = 0.0) -> DataFrame:
+def dense_search(store: Store, vector: Sequence[float], corpus: str, top_k: int | None = TOP_K, min_score: float = 0.0) -> DataFrame:
     """chunk_id, document_id, title, uri, chunk_index, content, score, meta, doc_meta of the `top_k` chunks of a corpus nearest to a vector, of
-    a cosine of at least `min_score`. An unknown corpus gives no rows; ties go to the smaller id. One pass and a top-k of each task."""
+    a cosine of at least `min_score`; None: of all of them. An unknown corpus gives no rows; ties go to the smaller id. One pass and a top-k
+    of each task."""
     near = dense_scores(store, vector, [corpus]).withColumn("score", F.round(1 - F.col("dist"), DECIMALS)).where(F.col("score") >= min_score)
-    best = near.orderBy("dist", "chunk_id").limit(top_k)
-    return _details(store, best).select("chunk_id", "document_id", "title", "uri", "chunk_index", "content", "score", "meta", "doc_meta")
+    best = near if top_k is None else near.orderBy("dist", "chunk_id").limit(top_k)
+    return _details(store, best, top_k).select("chunk_id", "document_id", "title", "uri", "chunk_index", "content", "score", "meta", "doc_meta")
 
 
 def fts_search(store: Store, text: str, corpus: str, top_k: int = TEXT_TOP_K) -> DataFrame:
@@ -113,82 +142,80 @@ def fts_search(store: Store, text: str, corpus: str, top_k: int = TEXT_TOP_K) ->
     else:
         scored = text_scores(store, query, [corpus])
     best = scored.orderBy(F.desc("score"), "chunk_id").limit(top_k)
-    return best.join(store.chunk.select("chunk_id", "content", "meta"), "chunk_id").select("chunk_id", "document_id", "content", F.col("score").alias("rank"), "meta")
-
-
-def _ranked(scored: DataFrame, order: Sequence[Column], rank: str, most: int) -> DataFrame:
-    w = Window.partitionBy("corpus_name").orderBy(*order)
-    return scored.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= most)
-
-
-def fused(dense: DataFrame, text: DataFrame | None, rrf_k: int = RRF_K) -> DataFrame:
-    """corpus_name, chunk_id, document_id, dense_rank, fts_rank, rrf_score of what is in either list; a missing rank is NULL and adds nothing."""
-    d = dense.select("chunk_id", "document_id", "corpus_name", "dense_rank")
-    if text is None:
-        both = d.withColumn("fts_rank", F.lit(None).cast("int"))
-    else:
-        t = text.select("chunk_id", F.col("document_id").alias("_doc"), F.col("corpus_name").alias("_corpus"), "fts_rank")
-        both = d.join(t, "chunk_id", "full_outer")
-        both = both.select("chunk_id", F.coalesce("document_id", "_doc").alias("document_id"), F.coalesce("corpus_name", "_corpus").alias("corpus_name"), "dense_rank", "fts_rank")
-    part = lambda c: F.coalesce(F.lit(1.0) / (F.lit(float(rrf_k)) + F.col(c)), F.lit(0.0))
-    return both.withColumn("rrf_score", F.round(part("dense_rank") + part("fts_rank"), 12))
+    return _details(store, best, top_k).select("chunk_id", "document_id", "content", F.col("score").alias("rank"), "meta")
 
 
 def hybrid(store: Store, vector: Sequence[float], text: str | None, k_by_corpus: Mapping[str, int], candidate_k: int | None = CANDIDATES, rrf_k: int = RRF_K, parser: str = "all") -> DataFrame:
     """The fused hits of several corpora, each with its own number: corpus_name, chunk_id, document_id, rrf_score, dense_rank, fts_rank.
 
-    candidate_k hits of each list go into the fusion, or, if it is None, as many as are asked of the corpus. parser "all" joins all words by and
-    and searches vectors only where the text is no query; "web" reads quotes, or and -.
+    candidate_k hits of each list go into the fusion, or, if it is None, as many as are asked of the corpus. A missing rank is NULL and adds
+    nothing. parser "all" joins all words by and and searches vectors only where the text is no query; "web" reads quotes, or and -.
+
+    One pass over chunks and one over embeddings; both lists are ranked in one window, each chunk once for each list it is in.
     """
     query = (parse_all if parser == "all" else parse_web)(text)
     names = list(k_by_corpus)
     most = max([candidate_k if candidate_k is not None else k for k in k_by_corpus.values()], default=0)
-    dense = _ranked(dense_scores(store, vector, names), [F.col("dist"), F.col("chunk_id")], "dense_rank", most)
-    words = None if query is None else _ranked(text_scores(store, query, names), [F.desc("score"), F.col("chunk_id")], "fts_rank", most)
+    score = F.lit(None).cast("double") if query is None else text_score(tokens(F.col("content")), query)
+    chunk = store.chunks(document_id=F.col("document_id"), score=score).join(_distances(store, vector), "chunk_id", "left")
+    lists = F.filter(F.array(F.struct(F.lit("d").alias("list"), F.col("dist").alias("by")), F.struct(F.lit("t").alias("list"), (-F.col("score")).alias("by"))), lambda x: x["by"].isNotNull())
+    of = chunk.where("dist IS NOT NULL OR score IS NOT NULL").join(_documents(store, names), "document_id")
+    entries = of.select("corpus_name", "chunk_id", "document_id", F.inline(lists))
+    w = Window.partitionBy("corpus_name", "list").orderBy("by", "chunk_id")
+    listed = entries.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= most)
     wanted = F.coalesce(*[F.when(F.col("corpus_name") == n, k) for n, k in k_by_corpus.items()], F.lit(0))
     if candidate_k is None:
-        dense = dense.where(F.col("dense_rank") <= wanted)
-        words = None if words is None else words.where(F.col("fts_rank") <= wanted)
+        listed = listed.where(F.col("rank") <= wanted)
+    rank = lambda name: F.max(F.when(F.col("list") == name, F.col("rank")))
+    both = listed.repartition("corpus_name").groupBy("corpus_name", "chunk_id", "document_id").agg(rank("d").alias("dense_rank"), rank("t").alias("fts_rank"))
+    part = lambda c: F.coalesce(F.lit(1.0) / (F.lit(float(rrf_k)) + F.col(c)), F.lit(0.0))
     best = Window.partitionBy("corpus_name").orderBy(F.desc("rrf_score"), "chunk_id")
-    return fused(dense, words, rrf_k).withColumn("_n", F.row_number().over(best)).where((F.col("_n") <= most * 2) & (F.col("_n") <= wanted)).drop("_n")
+    fused = both.withColumn("rrf_score", F.round(part("dense_rank") + part("fts_rank"), 12)).withColumn("_n", F.row_number().over(best))
+    return fused.where(F.col("_n") <= wanted).select("corpus_name", "chunk_id", "document_id", "rrf_score", "dense_rank", "fts_rank")
 
 
 def hybrid_search(store: Store, vector: Sequence[float], text: str | None, corpus: str, top_k: int = TOP_K, candidate_k: int | None = CANDIDATES, rrf_k: int = RRF_K, parser: str = "all") -> DataFrame:
     """chunk_id, document_id, title, uri, chunk_index, content, rrf_score, dense_rank, fts_rank, meta, doc_meta of one corpus."""
     hits = hybrid(store, vector, text, {corpus: top_k}, candidate_k, rrf_k, parser)
-    return _details(store, hits).select("chunk_id", "document_id", "title", "uri", "chunk_index", "content", "rrf_score", "dense_rank", "fts_rank", "meta", "doc_meta")
+    return _details(store, hits, top_k).select("chunk_id", "document_id", "title", "uri", "chunk_index", "content", "rrf_score", "dense_rank", "fts_rank", "meta", "doc_meta")
 
 
 def multi_corpus_search(store: Store, vector: Sequence[float], text: str | None, k_by_corpus: Mapping[str, int], **options) -> DataFrame:
     """chunk_id, corpus_name, title, content, rrf_score, dense_rank, fts_rank, meta of several corpora; order by rrf_score for the ranking over all."""
     hits = hybrid(store, vector, text, k_by_corpus, **options)
-    return _details(store, hits).select("chunk_id", "corpus_name", "title", "content", "rrf_score", "dense_rank", "fts_rank", "meta")
-
-
-def density(found: list[str], terms: list[str]) -> float:
-    """`cover_density` of one text, in one pass."""
-    last: dict[str, tuple[int, int]] = {}
-    wanted, spans, n = set(terms), {}, 0
-    for pos, token in enumerate(found):
-        if token in wanted:
-            n += 1
-            last[token] = (pos, n)
-            if len(last) == len(wanted):
-                left = min(last.values())
-                spans.setdefault(left, (pos, n))
-    return sum(1 / (1 + (r[0] - l[0]) - (r[1] - l[1])) for l, r in spans.items())
+    return _details(store, hits, sum(k_by_corpus.values())).select("chunk_id", "corpus_name", "title", "content", "rrf_score", "dense_rank", "fts_rank", "meta")
 
 
 _ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
 
 
-def _in_parts(queries: DataFrame, query_id: str, most: int) -> list[list]:
-    """The queries on the driver, in parts of about `most`; one empty part if there are none."""
+def _parts(queries: DataFrame, query_id: str, most: int) -> Iterator[list]:
+    """The queries on the driver, about `most` at a time; one empty part if there are none. Of several parts the next is fetched when it is asked for."""
     rows = queries.limit(most + 1).collect()
     if len(rows) <= most:
-        return [rows]
-    parts = -(-queries.count() // most)
-    return [queries.where(F.pmod(F.xxhash64(query_id), F.lit(parts)) == i).collect() for i in range(parts)]
+        yield rows
+        return
+    kept = cut(queries)  # computed once, whatever the number of parts
+    n = -(-kept.count() // most)
+    for i in range(n):
+        yield kept.where(F.pmod(F.xxhash64(query_id), F.lit(n)) == i).collect()
+
+
+def _searched(queries: DataFrame, query_id: str, most: int, prepare: Callable[[list], object], run: Callable[[object], DataFrame]) -> DataFrame:
+    """The union of `run` over the parts of the queries. Of several parts each is written and its broadcast freed before the next is fetched."""
+    context = queries.sparkSession.sparkContext
+    out: DataFrame | None = None
+    before = None
+    for rows in _parts(queries, query_id, most):
+        if before is not None:
+            sent, part = before
+            part = cut(part)
+            sent.destroy()
+            out = part if out is None else out.unionByName(part)
+        sent = context.broadcast(prepare(rows))
+        before = (sent, run(sent))
+    part = before[1]
+    return part if out is None else out.unionByName(cut(part))
 
 
 def batch_text_search(store: Store, queries: DataFrame, k_by_kind: Mapping[str, int], query_id: str = "query_id", text: str = "query", corpus: str = "corpus", most: int = 100_000) -> DataFrame:
@@ -198,40 +225,51 @@ def batch_text_search(store: Store, queries: DataFrame, k_by_kind: Mapping[str,
     `k_by_kind` says); a corpus of another kind gives the sum of all. Words are joined by and; a query without words finds nothing.
 
     The texts stay where they are: each task has the queries, listed by their rarest word, and holds a text against those whose rarest word is
-    in it. What is shuffled are counts of the queries' words and the hits. More than `most` queries are searched in parts, a pass for each.
+    in it. What is shuffled are counts of the queries' words, ids and the hits; hits in rows that a later row of their chunk replaces are left
+    out. More than `most` queries are searched in parts, a pass for each, with one part at a time on the driver.
     """
     corpora = store.corpus.select("corpus_id", F.col("name").alias("corpus_name"), F.regexp_extract(F.lower("name"), r"([^-]*)$", 1).alias("kind"))
-    chunk = store.chunk.select("chunk_id", "document_id", tokens(F.col("content")).alias("tokens"))
+    repeated = store.stored is not None
+    rows = store.stored[0] if repeated else store.chunk
+    made = F.col("created_at") if repeated else F.lit(None).cast("timestamp")
+    chunk = rows.select("chunk_id", "document_id", made.alias("_made"), tokens(F.col("content")).alias("tokens"))
     terms = queries.select(query_id, F.array_distinct(tokens(F.col(text))).alias("terms")).where(F.size("terms") > 0)
     each = bounded(terms.select(F.explode("terms").alias("term")).distinct(), None, 20 * most)
     counts = chunk.select(F.explode(F.array_distinct("tokens")).alias("term")).join(each, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     first = terms.select(query_id, "terms", F.explode("terms").alias("term")).join(counts, "term").groupBy(query_id, "terms").agg(F.min(F.struct("df", "term")).alias("r"), F.count(F.lit(1)).alias("n"))
     asked = first.where(F.col("n") == F.size("terms")).select(query_id, "terms", F.col("r.term").alias("rarest"))  # all words occur somewhere
     kind = queries.schema[query_id].dataType.simpleString()
-    lines = chunk.select("chunk_id", "document_id", F.array_join("tokens", " ").alias("line"))
-    scored = None
-    for rows in _in_parts(asked, query_id, most):
+    stamp = chunk.schema["_made"].dataType.simpleString()
+    lines = chunk.select("chunk_id", "document_id", "_made", F.array_join("tokens", " ").alias("line"))
+
+    def prepare(part: list) -> dict[str, list]:
         by_rarest: dict[str, list] = {}
-        for r in rows:
+        for r in part:
             by_rarest.setdefault(r["rarest"], []).append((r[query_id], list(r["terms"])))
-        sent = queries.sparkSession.sparkContext.broadcast(by_rarest)
+        return by_rarest
 
-        def meet(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+    def run(sent) -> DataFrame:
+        def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             listed = sent.value
             for batch in batches:
                 q, at, score = [], [], []
-                for i, line in enumerate(batch.column(2).to_pylist()):
+                for i, line in enumerate(batch.column(3).to_pylist()):
                     found = line.split(" ") if line else []
                     there = set(found)
                     for rare in there & listed.keys():
                         for query, wanted in listed[rare]:
                             if there.issuperset(wanted):
-                                q.append(query), at.append(i), score.append(round(density(found, wanted), DECIMALS))
+                                q.append(query), at.append(i), score.append(round(density(found, [[(w,)] for w in wanted]), DECIMALS))
                 take = pa.array(at, pa.int64())
-                yield pa.RecordBatch.from_pydict({query_id: pa.array(q, _ARROW[kind]), "chunk_id": batch.column(0).take(take), "document_id": batch.column(1).take(take), "score": pa.array(score, pa.float64())})
+                of_chunk = {n: batch.column(i).take(take) for i, n in enumerate(("chunk_id", "document_id", "_made"))}
+                yield pa.RecordBatch.from_pydict({query_id: pa.array(q, _ARROW[kind]), **of_chunk, "score": pa.array(score, pa.float64())})
+
+        return lines.mapInArrow(meet, f"`{query_id}` {kind}, chunk_id string, document_id string, _made {stamp}, score double")
 
-        part = lines.mapInArrow(meet, f"`{query_id}` {kind}, chunk_id string, document_id string, score double")
-        scored = part if scored is None else scored.unionByName(part)
+    scored = _searched(asked, query_id, most, prepare, run)
+    if repeated:
+        last = rows.groupBy(F.col("chunk_id").alias("_id")).agg(F.max("created_at").alias("_last"))
+        scored = scored.join(last, F.col("chunk_id").eqNullSafe(F.col("_id")) & F.col("_made").eqNullSafe(F.col("_last"))).groupBy(query_id, "chunk_id", "document_id").agg(F.max("score").alias("score"))
     kinds = list(k_by_kind)
     k_of = lambda kind: F.coalesce(F.col(f"k_{kind}"), F.lit(k_by_kind[kind]))
     total = sum((k_of(k) for k in kinds), F.lit(0))
@@ -244,31 +282,53 @@ def batch_text_search(store: Store, queries: DataFrame, k_by_kind: Mapping[str,
     return ranked.where(F.col("rank") <= F.col("_limit")).select(query_id, "corpus_name", "chunk_id", "score", "rank")
 
 
-def _nearest(store: Store, sent, query_id: str, kind: str, top_k: int, block: int) -> DataFrame:
+def _matrix(column: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, unit vectors) of a column of lists: those of n finite numbers that are not all 0."""
+    sizes = np.asarray(pc.fill_null(pc.list_value_length(column), -1))
+    flat, starts = column.values, np.asarray(column.offsets)[:-1]
+    rows = np.flatnonzero(sizes == n)
+    values = np.asarray(flat.cast(pa.float64()).fill_null(float("nan")))  # of a vector with a NULL nothing is finite
+    x = values[starts[rows][:, None] + np.arange(n)] if len(rows) else np.zeros((0, n))
+    length = np.sqrt((x * x).sum(axis=1))
+    ok = np.isfinite(length) & (length > 0)
+    return rows[ok], x[ok] / length[ok, None]
+
+
+def _nearest(embedding: DataFrame, sent, query_id: str, kind: str, top_k: int, block: int) -> DataFrame:
+    """query_id, chunk_id, cosine: of each task's rows the top_k of each query, held as arrays of queries x top_k."""
+
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict = {}
+        best = {n: (np.full((len(q), top_k), -np.inf), np.full((len(q), top_k), "", object)) for n, (_, q) in sent.value.items()}
         for batch in batches:
-            ids, found = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for n, (qids, q) in sent.value.items():
-                rows = [i for i, v in enumerate(found) if v is not None and len(v) == n and None not in v]
-                x = np.array([found[i] for i in rows], np.float64).reshape(len(rows), n)
-                length = np.sqrt((x * x).sum(axis=1)) if len(rows) else np.zeros(0)
-                ok = np.isfinite(length) & (length > 0)
-                x, names = x[ok] / length[ok, None], [ids[rows[i]] for i in np.flatnonzero(ok)]
-                for lo in range(0, len(qids), block):
+            for n, (_, q) in sent.value.items():
+                rows, x = _matrix(batch.column(1), n)
+                if not len(rows):
+                    continue
+                names = np.array(batch.column(0).to_pylist(), object)[rows]
+                order = np.argsort(names, kind="stable")  # of ties the smaller id comes first
+                names, x = names[order], x[order]
+                score, who = best[n]
+                for lo in range(0, len(q), block):
                     cos = np.round(q[lo : lo + block] @ x.T, DECIMALS)
-                    for j, row in enumerate(cos):
-                        top = np.argpartition(-row, top_k)[: top_k + 1] if len(row) > top_k + 1 else range(len(row))
-                        if len(row) > top_k + 1:  # all that tie with the last
-                            top = np.flatnonzero(row >= np.sort(row[top])[1])
-                        mine = best.setdefault(qids[lo + j], [])
-                        mine += [(-float(row[i]), names[i]) for i in top]
-                        mine.sort()
-                        del mine[top_k:]
-        a, b, c = zip(*[(q, n, -s) for q, lst in best.items() for s, n in lst], strict=True) if best else ((), (), ())
-        yield pa.RecordBatch.from_pydict({query_id: pa.array(a, _ARROW[kind]), "chunk_id": pa.array(b, pa.string()), "cosine": pa.array(c, pa.float64())})
-
-    return store.embedding.select("chunk_id", "v").mapInArrow(near, f"`{query_id}` {kind}, chunk_id string, cosine double")
+                    both = np.concatenate([score[lo : lo + block], cos], axis=1)
+                    label = np.concatenate([who[lo : lo + block], np.broadcast_to(names, cos.shape)], axis=1)
+                    if both.shape[1] > 4 * top_k:  # all that reach the top_k-th, of which ties are more
+                        last = -np.partition(-both, top_k - 1, axis=1)[:, top_k - 1]
+                        wide = int((both >= last[:, None]).sum(axis=1).max())
+                        some = np.argsort(-both, axis=1, kind="stable")[:, :wide] if wide > 4 * top_k else np.argpartition(-both, wide - 1, axis=1)[:, :wide]
+                        both, label = np.take_along_axis(both, some, axis=1), np.take_along_axis(label, some, axis=1)
+                    for j in range(len(both)):
+                        top = np.lexsort((label[j].astype(str), -both[j]))[:top_k]
+                        score[lo + j], who[lo + j] = both[j, top], label[j, top]
+        ids, found, cosines = [], [], []
+        for n, (score, who) in best.items():
+            at, place = np.nonzero(np.isfinite(score))
+            ids += [sent.value[n][0][i] for i in at]
+            found += who[at, place].tolist()
+            cosines += score[at, place].tolist()
+        yield pa.RecordBatch.from_pydict({query_id: pa.array(ids, _ARROW[kind]), "chunk_id": pa.array(found, pa.string()), "cosine": pa.array(cosines, pa.float64())})
+
+    return embedding.mapInArrow(near, f"`{query_id}` {kind}, chunk_id string, cosine double")
 
 
 def batch_dense_search(store: Store, vectors: DataFrame, top_k: int = TOP_K, query_id: str = "query_id", vector: str = "vector", block: int = 1024, most: int = 100_000) -> DataFrame:
@@ -279,18 +339,19 @@ def batch_dense_search(store: Store, vectors: DataFrame, top_k: int = TOP_K, que
     """
     kind = vectors.schema[query_id].dataType.simpleString()
     asked = vectors.where(F.size(vector) > 0).select(query_id, F.col(vector).cast("array<float>").alias("v"))
-    parts = None
-    for rows in _in_parts(asked, query_id, most):
+
+    def prepare(rows: list) -> dict:
         by_size: dict[int, list] = {}
         for r in rows:
             v = np.array(r["v"], np.float64)
             if np.isfinite(v).all() and v.any():
                 by_size.setdefault(len(v), []).append((r[query_id], v / np.linalg.norm(v)))
-        packed = {n: ([i for i, _ in qs], np.array([v for _, v in qs])) for n, qs in by_size.items()}
-        part = _nearest(store, vectors.sparkSession.sparkContext.broadcast(packed), query_id, kind, top_k, block)
-        parts = part if parts is None else parts.unionByName(part)
+        return {n: ([i for i, _ in qs], np.array([v for _, v in qs])) for n, qs in by_size.items()}
+
+    embedding = store.vectors(v=F.col("v"))
+    found = _searched(asked, query_id, most, prepare, lambda sent: _nearest(embedding, sent, query_id, kind, top_k, block))
     w = Window.partitionBy(query_id).orderBy(F.desc("cosine"), "chunk_id")
-    return parts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_k)
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_k)
 
 
 def inverted_index(chunks: DataFrame, key: str = "chunk_id", text: str = "content") -> DataFrame:
@@ -298,4 +359,4 @@ def inverted_index(chunks: DataFrame, key: str = "chunk_id", text: str = "conten
     return chunks.select(key, F.posexplode(tokens(F.col(text))).alias("pos", "term")).groupBy("term", key).agg(F.array_sort(F.collect_list("pos")).alias("positions"))
 
 
-__all__ = ["cosine", "dense_search", "fts_search", "hybrid", "hybrid_search", "multi_corpus_search", "batch_text_search", "batch_dense_search", "inverted_index", "cover_density", "density"]
+__all__ = ["cosine", "dense_search", "fts_search", "hybrid", "hybrid_search", "multi_corpus_search", "batch_text_search", "batch_dense_search", "inverted_index", "density", "text_score", "text_scores"]

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexharbor.functions.metadata import merged, title
-from lexharbor.operators.dedup import last_wins
+from lexharbor.operators.dedup import last_wins, newest, null_key
 from lexharbor.session import bounded
 
 # Kind of corpus that each source of the manuals goes to.
@@ -20,23 +20,39 @@ SOURCES = {"CommandRef": "commands", "FunctionRef": "functions", "Programming":
 
 @dataclass(frozen=True)
 class Store:
-    """The four tables; columns as in `schema`."""
+    """The four tables; columns as in `schema`. chunk and embedding have one row per chunk_id; stored, if given, are these two tables as they lie
+    there, with repeated rows, for `chunks` and `vectors` to compute columns before anything is shuffled."""
 
     corpus: DataFrame
     document: DataFrame
     chunk: DataFrame
     embedding: DataFrame
+    stored: tuple[DataFrame, DataFrame] | None = None
+
+    def chunks(self, **columns: Column) -> DataFrame:
+        """chunk_id and the columns, computed from those of each chunk."""
+        return _columns(self.chunk, self.stored and self.stored[0], columns)
+
+    def vectors(self, **columns: Column) -> DataFrame:
+        """chunk_id and the columns, computed from those of each embedding."""
+        return _columns(self.embedding, self.stored and self.stored[1], columns)
+
+
+def _columns(one: DataFrame, stored: DataFrame | None, columns: dict[str, Column]) -> DataFrame:
+    if stored is None:
+        return one.select("chunk_id", *[c.alias(n) for n, c in columns.items()])
+    return newest(stored, ["chunk_id"], ["created_at"], **columns)
 
 
 def read_store(spark: SparkSession, folder: str, prefix: str = "rag_", repeated: bool = True) -> Store:
-    """The tables of a folder, one row per key: of repeated rows that of the last creation, then the greatest content or vector.
+    """The tables of a folder, one row per key: of repeated rows that of the last creation (see `last_wins`); embeddings without a vector count not.
 
     repeated=False reads tables without repeated rows, such as `write_store` leaves, as they are: nothing is shuffled."""
     t = lambda name: spark.read.parquet(f"{folder}/{prefix}{name}.parquet")
     chunk, embedding = t("chunk"), t("embedding").where(F.size("v") > 0)
-    if repeated:
-        chunk, embedding = last_wins(chunk, ["chunk_id"], ["created_at"], ["content"]), last_wins(embedding, ["chunk_id"], ["created_at"], ["v"])
-    return Store(t("corpus"), t("document"), chunk, embedding)
+    if not repeated:
+        return Store(t("corpus"), t("document"), chunk, embedding)
+    return Store(t("corpus"), t("document"), last_wins(chunk, ["chunk_id"], ["created_at"]), last_wins(embedding, ["chunk_id"], ["created_at"]), (chunk, embedding))
 
 
 def write_store(store: Store, folder: str, prefix: str = "rag_") -> None:
@@ -51,8 +67,12 @@ def stable_id(*parts: Column) -> Column:
 
 
 def insert_ignore(there: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """What is there, and of the new rows those whose key is not; of new rows with one key the first in order of all columns."""
-    fresh = new.join(there.select(*keys), list(keys), "left_anti").dropDuplicates(list(keys))
+    """What is there, and of the new rows those whose key is not; of new rows with one key the first in order of all columns, NULLs first.
+
+    A new row with a NULL in its key is in no conflict with any other and comes in."""
+    values = [c for c in there.columns if c not in keys]
+    first = new.groupBy(*keys, null_key(keys).alias("_alone")).agg(F.min(F.struct(*values)).alias("_first")).select(*keys, "_first.*")
+    fresh = first.join(there.select(*keys), list(keys), "left_anti")
     return there.unionByName(fresh.select(*there.columns))
 
 
@@ -129,7 +149,7 @@ def stale(documents: DataFrame, expected: DataFrame, managed: DataFrame) -> Data
 def cascade(store: Store) -> Store:
     """The store without chunks of no document and embeddings of no chunk."""
     chunk = store.chunk.join(store.document.select("document_id"), "document_id", "left_semi")
-    return replace(store, chunk=chunk, embedding=store.embedding.join(chunk.select("chunk_id"), "chunk_id", "left_semi"))
+    return replace(store, chunk=chunk, embedding=store.embedding.join(chunk.select("chunk_id"), "chunk_id", "left_semi"), stored=None)
 
 
 def full_sync(store: Store, expected: DataFrame, managed: DataFrame, delete: bool = True) -> Store:
@@ -172,19 +192,23 @@ def import_records(store: Store, records: DataFrame, model: str, now: Column | N
 
 
 def violations(store: Store) -> DataFrame:
-    """check STRING, n BIGINT: how many keys or rows break each rule of the store; rules that hold have 0."""
-    def twice(df: DataFrame, *keys: str) -> DataFrame:
-        return df.groupBy(*keys).count().where("count > 1")
-
+    """rule STRING, n BIGINT: how many keys or rows break each rule of the store; rules that hold have 0. Only keys are shuffled."""
+    n = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0)).alias("n")
+    own = F.lit(1).alias("_own")
+    chunk = store.chunks(document_id=F.col("document_id"), chunk_index=F.col("chunk_index"), missing=F.col("content").isNull())
+    by_key = chunk.join(store.document.select("document_id", own), "document_id", "left").groupBy("document_id", "chunk_index")
+    by_key = by_key.agg(F.count(F.lit(1)).alias("rows"), F.count_if("missing").alias("missing"), F.count_if(F.col("_own").isNull()).alias("lost"))
+    odd = F.coalesce(F.size("v") != F.col("embedding_dim"), F.lit(True))
+    vector = store.vectors(odd=odd).join(chunk.select("chunk_id", own), "chunk_id", "left")
+    twice = lambda df, *keys: df.groupBy(*keys).count().select(n(F.col("count") > 1))
     rules = {
         "corpus name twice": twice(store.corpus, "name"), "document key twice": twice(store.document, "corpus_id", "external_id"),
-        "chunk key twice": twice(store.chunk, "document_id", "chunk_index"), "embedding twice": twice(store.embedding, "chunk_id"),
-        "document of no corpus": store.document.join(store.corpus, "corpus_id", "left_anti"), "chunk of no document": store.chunk.join(store.document, "document_id", "left_anti"),
-        "embedding of no chunk": store.embedding.join(store.chunk, "chunk_id", "left_anti"), "content missing": store.chunk.where("content IS NULL"),
-        "vector of another size": store.embedding.where("v IS NULL OR size(v) <> embedding_dim"),
+        "embedding twice": twice(store.vectors(odd=odd), "chunk_id"),
+        "document of no corpus": store.document.join(store.corpus.select("corpus_id"), "corpus_id", "left_anti").agg(F.count(F.lit(1)).alias("n")),
     }
+    of_chunks = by_key.agg(n(F.col("rows") > 1).alias("chunk key twice"), n(F.col("missing")).alias("content missing"), n(F.col("lost")).alias("chunk of no document"))
+    of_vectors = vector.agg(n(F.col("_own").isNull()).alias("embedding of no chunk"), n(F.col("odd")).alias("vector of another size"))
     out = None
-    for name, df in rules.items():
-        one = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("rule"), "n")
+    for one in [*[df.select(F.lit(name).alias("rule"), "n") for name, df in rules.items()], *[df.unpivot([], df.columns, "rule", "n") for df in (of_chunks, of_vectors)]]:
         out = one if out is None else out.unionByName(one)
     return out

@@ -31,9 +31,10 @@ def _names(s: store.Store) -> dict[str, str]:
 
 
 def _vector(s: store.Store) -> list[float]:
-    good = s.embedding.where((F.size("v") == 64) & ~F.exists("v", lambda x: x.isNull() | F.isnan(x)) & (norm(F.col("v")) > 0))
-    row = good.orderBy("chunk_id").select("v").first()
-    return list(row["v"]) if row else [0.0] * 64
+    v = F.col("v")
+    usable = (F.size(v) == 64) & ~F.exists(v, lambda x: x.isNull() | F.isnan(x)) & (norm(v) > 0)
+    row = s.vectors(v=v, usable=usable).where("usable").agg(F.min(F.struct("chunk_id", "v")).alias("least")).first()
+    return list(row["least"]["v"]) if row["least"] else [0.0] * 64
 
 
 def dense_topk(spark, d):
@@ -43,13 +44,12 @@ def dense_topk(spark, d):
 
 def dense_min_score(spark, d):
     s = _store(spark, d)
-    return retrieval.dense_search(s, _vector(s), _names(s)["commands"], top_k=1_000_000, min_score=0.25).select("chunk_id", "score")
+    return retrieval.dense_search(s, _vector(s), _names(s)["commands"], top_k=None, min_score=0.25).select("chunk_id", "score")
 
 
 def fts_match_and(spark, d):
     s = _store(spark, d)
-    found = s.chunk.select("chunk_id", tokens(F.col("content")).alias("t")).where(retrieval.matches(F.col("t"), queries.parse_all("search field toolbar")))
-    return found.select("chunk_id")
+    return s.chunks(found=retrieval.matches(tokens(F.col("content")), queries.parse_all("search field toolbar"))).where("found").select("chunk_id")
 
 
 def fts_single_term_tf(spark, d):
@@ -64,8 +64,14 @@ def fts_cover_density(spark, d):
 
 def web_query(spark, d):
     s = _store(spark, d)
-    found = s.chunk.select("chunk_id", tokens(F.col("content")).alias("t"))
-    return found.where(retrieval.matches(F.col("t"), queries.parse_web(WEB))).select("chunk_id", F.size("t").alias("n_tokens"))
+    t = tokens(F.col("content"))
+    return s.chunks(n_tokens=F.size(t), found=retrieval.matches(t, queries.parse_web(WEB))).where("found").select("chunk_id", "n_tokens")
+
+
+def web_query_rank(spark, d):
+    """The chunks that answer a query with alternatives and a phrase, by cover density."""
+    s = _store(spark, d)
+    return retrieval.text_scores(s, queries.parse_web(WEB)).select("chunk_id", "corpus_name", "score")
 
 
 def hybrid_rrf(spark, d):
@@ -326,7 +332,7 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
 
 
 _ALL = (
-    dense_topk, dense_min_score, fts_match_and, fts_single_term_tf, fts_cover_density, web_query, hybrid_rrf, hybrid_inline_small_pool, hybrid_dense_only, multi_corpus_topk,
+    dense_topk, dense_min_score, fts_match_and, fts_single_term_tf, fts_cover_density, web_query, web_query_rank, hybrid_rrf, hybrid_inline_small_pool, hybrid_dense_only, multi_corpus_topk,
     single_corpus_sum_k, multi_corpus_batch_queries, batch_dense, inverted_index, word_window_split, min_word_filter, chunk_stats_by_corpus, id_occurrence_suffix,
     chapter_carry_forward, boundary_lookahead, heading_strip, clean_text, markdown_metadata, slugify, german_detect, german_rewrite, query_normalize, preset_k, pending_antijoin,
     upsert_documents, insert_ignore, stale_cleanup, cascade_orphans, last_wins_dedup, store_violations, title_fallback, source_labels, context_text, metadata_filter, import_counters,

@@ -37,10 +37,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from spark.checkpoint.dir; only where that is unset, as in tests, one of our own."""
+    """The folder all executors share, from spark.checkpoint.dir; only where that is unset and the session is of one machine, as in tests, one
+    of our own. Raises RuntimeError on a cluster that names none."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     own = os.path.join(tempfile.gettempdir(), f"lexharbor-{spark.sparkContext.applicationId}")
     return f"file://{own}"
 

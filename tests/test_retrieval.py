@@ -51,7 +51,28 @@ def brute_density(tokens, terms):
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from("abcx"), max_size=14), st.sampled_from([["a"], ["a", "b"], ["a", "b", "c"]]))
 def test_density_against_brute_force(tokens, terms):
-    assert abs(retrieval.density(tokens, terms) - brute_density(tokens, terms)) < 1e-9
+    assert abs(retrieval.density(tokens, [[(t,)] for t in terms]) - brute_density(tokens, terms)) < 1e-9
+
+
+def brute_cover(tokens, wanted):
+    """Over all spans: those that hold one of each group and no shorter one that does."""
+    holds = lambda l, r: all(any(tuple(tokens[i : i + len(p)]) == p for p in g for i in range(l, r + 2 - len(p))) for g in wanted)
+    spans = [(l, r) for l in range(len(tokens)) for r in range(l, len(tokens)) if holds(l, r)]
+    least = [(l, r) for l, r in spans if not any((a, b) != (l, r) and l <= a and b <= r for a, b in spans)]
+    words = {w for g in wanted for p in g for w in p}
+    return sum(1 / (1 + sum(t not in words for t in tokens[l : r + 1])) for l, r in least)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from("abcx"), max_size=14), st.lists(st.lists(st.lists(st.sampled_from("abc"), min_size=1, max_size=2).map(tuple), min_size=1, max_size=2), min_size=1, max_size=3))
+def test_density_of_alternatives_and_phrases_against_brute_force(tokens, wanted):
+    assert abs(retrieval.density(tokens, wanted) - brute_cover(tokens, wanted)) < 1e-9
+
+
+def test_next_door_hits_come_first_with_alternatives():
+    wanted = retrieval.groups(parse_web("a or b c"))
+    scores = [retrieval.density(t.split(), wanted) for t in ("x a c x", "a " + "x " * 50 + "c", "a a a " + "x " * 60 + "c")]
+    assert scores[0] == 1 and scores[0] > scores[1] > scores[2]
 
 
 def test_text_scores(spark, made, texts):
@@ -127,6 +148,56 @@ def test_batches(spark, made, texts):
         assert [i for _, i in sorted(near[n])] == [i for _, i in sorted((d, f"c{i:03d}") for i, d in cosines(model, texts, t).items())[:7]]
 
 
+def test_many_queries_are_searched_in_parts(spark, made, texts, monkeypatch):
+    store, model = made
+    words = "red green blue box lamp pump valve".split()
+    asks = spark.createDataFrame([(i, f"{words[i % 7]} {words[i // 7 % 7]}", "all", 3, 3, 3) for i in range(49)], "query_id long, query string, corpus string, k_commands int, k_functions int, k_programming int")
+    sizes = []
+    whole = {tuple(r) for r in retrieval.batch_text_search(store, asks, {"commands": 4, "functions": 4, "programming": 4}).collect()}
+    parts = retrieval._parts
+    monkeypatch.setattr(retrieval, "_parts", lambda *a: (sizes.append(len(p)) or p for p in parts(*a)))
+    assert {tuple(r) for r in retrieval.batch_text_search(store, asks, {"commands": 4, "functions": 4, "programming": 4}, most=10).collect()} == whole and whole
+    assert len(sizes) == 5 and max(sizes) < 25 and sum(sizes) == 49
+    vectors = spark.createDataFrame([(i, model.encode([w])[0].tolist()) for i, w in enumerate(words)], "query_id long, vector array<float>")
+    rows = lambda most: {(r.query_id, r["rank"], r.chunk_id, r.cosine) for r in retrieval.batch_dense_search(store, vectors, 4, most=most).collect()}
+    assert rows(2) == rows(100)
+
+
+def test_dense_batches_with_ties(spark, made):
+    store, model = made
+    same = spark.createDataFrame([(f"c{i:03d}", "m", 2, [float(i % 3), 1.0]) for i in range(90)] + [("n1", "m", 2, [None, 1.0]), ("n2", "m", 2, None), ("n3", "m", 2, [0.0, 0.0]), ("n4", "m", 2, [float("nan"), 1.0])], "chunk_id string, model string, embedding_dim int, v array<float>")
+    vectors = spark.createDataFrame([(1, [0.0, 1.0]), (2, [2.0, 1.0])], "query_id long, vector array<float>")
+    got = retrieval.batch_dense_search(Store(store.corpus, store.document, store.chunk, same.repartition(3)), vectors, 4).collect()
+    assert sorted((r.query_id, r["rank"], r.chunk_id) for r in got) == [(q, n + 1, f"c{3 * n + (q - 1) * 2:03d}") for q in (1, 2) for n in range(4)]
+
+
+def test_searches_read_no_contents_but_of_the_hits(spark, tmp_path, made):
+    store, model = made
+    folder = str(tmp_path)
+    for name in ("corpus", "document", "chunk", "embedding"):
+        getattr(store, name).withColumn("created_at", F.lit("2025-01-01").cast("timestamp")).write.parquet(f"{folder}/rag_{name}.parquet")
+    from lexharbor.operators.store import read_store
+
+    repeated = read_store(spark, folder)
+    q = model.encode(["red box"])[0].tolist()
+    plan = retrieval.dense_search(repeated, q, "a-code")._jdf.queryExecution().executedPlan().toString()
+    assert sum("content#" in line and "ReadSchema" in line for line in plan.split("\n")) <= 1
+    scores = retrieval.dense_scores(repeated, q)._jdf.queryExecution().executedPlan().toString()
+    assert "content#" not in scores and "meta#" not in scores and "content:string" not in scores
+    assert {tuple(r) for r in retrieval.dense_search(repeated, q, "a-code").collect()} == {tuple(r) for r in retrieval.dense_search(store, q, "a-code").collect()}
+
+
+def test_later_rows_replace_earlier_ones_in_batches(spark, made):
+    store, _ = made
+    at = lambda d: F.lit(d).cast("timestamp")
+    old = store.chunk.withColumn("content", F.lit("red box")).withColumn("created_at", at("2025-01-01"))
+    both = old.unionByName(store.chunk.withColumn("created_at", at("2025-02-01")))
+    asks = spark.createDataFrame([(1, "red box", "all", 9, 9, 9)], "query_id long, query string, corpus string, k_commands int, k_functions int, k_programming int")
+    dirty = Store(store.corpus, store.document, store.chunk, store.embedding, (both, store.embedding))
+    k = {"commands": 4, "functions": 4, "programming": 4}
+    assert {tuple(r) for r in retrieval.batch_text_search(dirty, asks, k).collect()} == {tuple(r) for r in retrieval.batch_text_search(store, asks, k).collect()}
+
+
 def test_index_holds_every_word(spark, made, texts):
     rows = {(r.term, r.chunk_id): list(r.positions) for r in retrieval.inverted_index(made[0].chunk).collect()}
     want = {}
