@@ -59,6 +59,25 @@ def clamped_k(value: Column, fallback: int | Column) -> Column:
     return F.when(ok, F.least(F.lit(MAX_K), F.greatest(F.lit(1), F.floor(number + 0.5))).cast("int")).otherwise(fall)
 
 
+def choice(value: Column, allowed: tuple[str, ...], fallback: str) -> Column:
+    """`normalize_choice` over a column."""
+    text = F.lower(F.regexp_replace(F.coalesce(value, F.lit(fallback)), r"(?U)^\s+|\s+\z", ""))
+    return F.when(text.isin(*allowed), text).otherwise(F.lit(fallback))
+
+
+def resolved(mode: Column, corpus: Column, k: dict[str, Column]) -> Column:
+    """STRUCT<mode, corpus, k_commands, k_functions, k_programming>: `resolve` for the tool "docs" over columns, where NULL means not given.
+
+    An unknown mode is none; a mode's preset gives what is not given, the corpus too."""
+    name = choice(mode, tuple(PRESETS), "")
+    kind = F.coalesce(*[F.when(name == m, F.lit(kind)) for m, (kind, _) in PRESETS.items()], F.lit("all"))
+    preset = lambda n: F.coalesce(*[F.when(name == m, F.lit(given[n])) for m, (_, given) in PRESETS.items()], F.lit(DEFAULT_K[n]))
+    return F.struct(
+        F.nullif(name, F.lit("")).alias("mode"), F.when(corpus.isNull(), kind).otherwise(choice(corpus, ("all", *KINDS), "all")).alias("corpus"),
+        *[clamped_k(k[n], preset(n)).alias(f"k_{n}") for n in DEFAULT_K],
+    )
+
+
 def normalize_choice(value: object, allowed: tuple[str, ...] | set[str], fallback: str) -> str:
     """The trimmed, lower-case value if it is allowed."""
     text = str(fallback if value is None else value).strip().lower()

@@ -47,3 +47,13 @@ def distance(v: Column, query: Sequence[float]) -> Column:
 def checked(v: Column, dim: int) -> Column:
     """The vector, or an error where it has not `dim` elements."""
     return F.when(F.size(v) == dim, v).otherwise(F.raise_error(F.concat(F.lit(f"vector of {dim} elements expected, found "), F.size(v).cast("string"))))
+
+
+def literal(v: Column, decimals: int = 8) -> Column:
+    """The vector as text: [x, ...] with `decimals` decimals and no blanks; NULL for NULL."""
+    return F.concat(F.lit("["), F.array_join(F.transform(v, lambda x: F.format_string(f"%.{decimals}f", x.cast("double"))), ","), F.lit("]"))
+
+
+def rounded(v: Column, decimals: int = 8) -> Column:
+    """The vector as it comes back from its text: each element to `decimals` decimals, as ARRAY<FLOAT>."""
+    return F.transform(v, lambda x: F.round(x.cast("double"), decimals).cast("float"))

@@ -72,9 +72,11 @@ def dedup_ids(df: DataFrame, id_: str = "id", order: Sequence[str] = ("pos",), s
     return row_numbers(df, [*scope, id_], list(order), "_n").withColumn(id_, F.when(F.col("_n") > 1, F.concat(F.col(id_), F.lit("_"), F.col("_n").cast("string"))).otherwise(F.col(id_))).drop("_n")
 
 
-def chunk_stats(df: DataFrame, by: str = "corpus", text: str = "text") -> DataFrame:
-    """by, n_chunks, avg_words (rounded down), min_words, max_words; no rows for an empty table."""
-    n = word_count(F.col(text))
+def chunk_stats(df: DataFrame, by: str = "corpus", text: str = "text", total: bool = False) -> DataFrame:
+    """by, n_chunks, avg_words (rounded down), min_words, max_words; no rows for an empty table. total: one more row, of all, whose `by` is
+    "total". Words are counted where the texts lie."""
+    n = F.col("_n")
+    df = df.select(F.explode(F.array(F.col(by), F.lit("total"))).alias(by) if total else F.col(by), word_count(F.col(text)).alias("_n"))
     return df.groupBy(by).agg(
         F.count(F.lit(1)).alias("n_chunks"), F.floor(F.sum(n) / F.count(F.lit(1))).alias("avg_words"), F.min(n).cast("long").alias("min_words"), F.max(n).cast("long").alias("max_words")
     )

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 from typing import Protocol
 
 import pyarrow as pa
@@ -37,48 +39,64 @@ def code_lines(words: DataFrame, doc: str = "doc") -> DataFrame:
     return rows.where(F.col("w")[0]["fontname"].rlike(CODE_FONT)).select(doc, "page", "y", F.array_join(F.transform("w", lambda x: x["text"]), " ").alias("line"))
 
 
-def _bare(text: str) -> str:
-    return re.sub(r"\s+", "", text)
+_BLOCK = re.compile(r"```\n(.*?)\n```", re.S)
 
 
-def repaired(md: str, lines: list[str]) -> str:
-    """The Markdown with each line of its plain code blocks as it stands among `lines`.
+class CodeLines:
+    """The code lines of a page, found by what they are without white space: sorted, so that a line and the lines that go on from it are
+    neighbours."""
 
-    Lines are compared without white space. Of equal ones the last holds; else the first line that goes on further than the block's is used,
-    cut where the block's ends (counting what is no blank)."""
-    known: dict[str, str] = {}
-    ordered: list[tuple[str, str]] = []
-    for line in lines:
-        if key := _bare(line):
-            known[key] = line
-            ordered.append((key, line))
-    if not ordered:
-        return md
+    def __init__(self, lines: list[str]):
+        keyed = sorted(("".join(x.split()), at) for at, x in enumerate(lines))
+        keyed = keyed[bisect_left(keyed, ("", len(lines))) :]  # blank lines stand first
+        self.lines, self.keys, self.order = lines, [k for k, _ in keyed], [at for _, at in keyed]
 
-    def one(line: str) -> str:
-        key = _bare(line)
-        if not key or key in known:
-            return known.get(key, line)
-        longer = next((full for k, full in ordered if k.startswith(key)), None)
-        if longer is None:
+    def mended(self, line: str) -> str:
+        """The line as it stands on the page: the last that is the same but for white space, else the first that goes on from it, cut where it
+        ends; characters other than the blank are counted for that. A line that is on no page stays."""
+        key = "".join(line.split())
+        lo, same = bisect_left(self.keys, key), bisect_right(self.keys, key)
+        if not key:
+            return line
+        if same > lo:
+            return self.lines[self.order[same - 1]]
+        longer = self.order[lo : bisect_right(self.keys, key + chr(0x10FFFF))]
+        if not longer:
             return line
-        left = len(key)
-        for i, ch in enumerate(longer):
-            left -= ch != " "
-            if not left:
-                return longer[: i + 1]
-        return longer
+        full = self.lines[min(longer)]
+        return full[: list(accumulate(x != " " for x in full)).index(len(key)) + 1]
 
-    return re.sub(r"```\n(.*?)\n```", lambda m: "```\n" + "\n".join(map(one, m[1].splitlines())) + "\n```", md, flags=re.S)
+
+def mend_code(md: str, lines: list[str]) -> str:
+    """The Markdown with the lines of its plain code blocks as they stand among `lines`; other blocks stay."""
+    page = CodeLines(lines)
+    if not page.keys:
+        return md
+    out, at = [], 0
+    for block in _BLOCK.finditer(md):
+        inner = block.span(1)
+        out += [md[at : inner[0]], "\n".join(page.mended(x) for x in block[1].splitlines())]
+        at = inner[1]
+    return "".join([*out, md[at:]])
 
 
-def repair_pages(pages: DataFrame, lines: DataFrame, doc: str = "doc") -> DataFrame:
-    """doc, md: the pages of each document, their code repaired by `code_lines`, in order of page, joined by a blank line."""
+def mended_pages(pages: DataFrame, lines: DataFrame, doc: str = "doc") -> DataFrame:
+    """doc, page, md: each page, the code in it mended by the page's `code_lines` (doc, page, y, line). Both are grouped by page, so what a task
+    holds is a page at a time."""
     of_page = lines.groupBy(doc, "page").agg(F.transform(F.array_sort(F.collect_list(F.struct("y", "line"))), lambda x: x["line"]).alias("lines"))
 
     @F.arrow_udf(StringType())
     def fix(md: pa.Array, known: pa.Array) -> pa.Array:
-        return pa.array([None if m is None else repaired(m, k or []) for m, k in zip(md.to_pylist(), known.to_pylist(), strict=True)], pa.string())
+        return pa.array([None if m is None else mend_code(m, k or []) for m, k in zip(md.to_pylist(), known.to_pylist(), strict=True)], pa.string())
+
+    return pages.join(of_page, [doc, "page"], "left").select(doc, "page", fix("md", "lines").alias("md"))
+
+
+def join_pages(pages: DataFrame, doc: str = "doc") -> DataFrame:
+    """doc, md: the pages of each document in their order, joined by a blank line."""
+    return pages.groupBy(doc).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", "md"))), lambda x: x["md"]), "\n\n").alias("md"))
+
 
-    fixed = pages.join(of_page, [doc, "page"], "left").select(doc, "page", fix("md", "lines").alias("md"))
-    return fixed.groupBy(doc).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", "md"))), lambda x: x["md"]), "\n\n").alias("md"))
+def extract(pages: DataFrame, words: DataFrame, skip: list[int] = [], doc: str = "doc") -> DataFrame:  # noqa: B006
+    """doc, md: the Markdown of each document from its pages (doc, page, md) and their words: pages to skip left out, code mended, pages joined."""
+    return join_pages(mended_pages(kept_pages(pages, skip), code_lines(kept_pages(words, skip), doc), doc), doc)

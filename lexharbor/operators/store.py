@@ -7,10 +7,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexharbor.functions.metadata import merged, title
+from lexharbor.functions.vectors import rounded
 from lexharbor.operators.dedup import last_wins, newest, null_key
 from lexharbor.session import bounded
 
@@ -161,14 +163,16 @@ def full_sync(store: Store, expected: DataFrame, managed: DataFrame, delete: boo
 
 
 def import_records(store: Store, records: DataFrame, model: str, now: Column | None = None, delete_stale: bool = False) -> tuple[Store, DataFrame]:
-    """The store after an import, and its counters (read, imported, skipped: one row).
+    """The store after an import, and its counters, one row: read, imported, skipped (of no known source), errors (no id or no text, left out),
+    removed (stale documents). Vectors are kept to 8 decimals, as their text form has them.
 
     records: id, text, metadata (a JSON text with a source), embedding, pos. Of records with one id in a corpus the last by pos holds. Chunk
     index is 0, ids depend on the key alone, so that importing twice changes nothing but updated_at.
     """
     at = F.current_timestamp() if now is None else now
     source = F.get_json_object("metadata", "$.source")
-    known, unknown = known_sources(records, store.corpus, source)
+    bad = F.col("id").isNull() | F.col("text").isNull()
+    known, _ = known_sources(records.where(~bad), store.corpus, source)
     one = last_wins(known.select("corpus_id", "id", "text", merged(F.lit(None).cast("string"), F.col("metadata")).alias("metadata"), "embedding", "pos"), ["corpus_id", "id"], ["pos"], ["text"])
     doc_id = stable_id(F.col("corpus_id"), F.col("id"))
     docs = one.select(
@@ -183,14 +187,44 @@ def import_records(store: Store, records: DataFrame, model: str, now: Column | N
     )
     chunk = upsert_chunks(store.chunk, chunks)
     vectors = held.join(chunk.where("chunk_index = 0").select("document_id", "chunk_id"), "document_id").where("embedding IS NOT NULL")
-    vectors = vectors.select("chunk_id", F.lit(model).alias("model"), F.size("embedding").alias("embedding_dim"), F.col("embedding").cast("array<float>").alias("v"), at.alias("created_at"))
+    vectors = vectors.select("chunk_id", F.lit(model).alias("model"), F.size("embedding").alias("embedding_dim"), rounded(F.col("embedding")).alias("v"), at.alias("created_at"))
     after = Store(store.corpus, document, chunk, upsert_embeddings(store.embedding, vectors))
-    counters = records.agg(F.count(F.lit(1)).alias("read"), F.count_if(source.isin(*SOURCES)).alias("imported"), F.count_if(~F.coalesce(source, F.lit("")).isin(*SOURCES)).alias("skipped"))
+    ours = F.coalesce(source, F.lit("")).isin(*SOURCES)
+    counters = records.agg(F.count(F.lit(1)).alias("read"), F.count_if(ours & ~bad).alias("imported"), F.count_if(~ours & ~bad).alias("skipped"), F.count_if(bad).alias("errors"))
+    removed = F.lit(0).cast("long")
     if delete_stale:
-        after = full_sync(after, one.select("corpus_id", F.col("id").alias("external_id")), one.select("corpus_id"))
+        expected, managed = one.select("corpus_id", F.col("id").alias("external_id")), one.select("corpus_id")
+        gone = stale(document, expected, managed).agg(F.count(F.lit(1)).alias("removed"))
+        after, counters, removed = full_sync(after, expected, managed), counters.join(F.broadcast(gone)), F.col("removed")  # one row each
+    counters = counters.select("read", "imported", "skipped", "errors", removed.alias("removed"))
     return after, counters
 
 
+def rates(done: int, of: int, seconds: float) -> dict[str, float | None]:
+    """How far a run is: records a second, and the seconds the rest will take at that rate (None before the first)."""
+    rate = done / seconds if seconds > 0 else 0.0
+    return {"rate": rate, "eta": (of - done) / rate if rate else None}
+
+
+def catalog(spark: SparkSession, folder: str, prefix: str = "rag_") -> DataFrame:
+    """table_name, column_name, data_type of the store's tables that are in a folder; a table that is not there gives no rows. Reads footers only."""
+    rows = []
+    for name in ("corpus", "document", "chunk", "embedding"):
+        try:
+            fields = spark.read.parquet(f"{folder}/{prefix}{name}.parquet").schema
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        rows += [(f"{prefix}{name}", f.name, f.dataType.simpleString()) for f in fields]
+    return spark.createDataFrame(rows, "table_name string, column_name string, data_type string")
+
+
+def has_table(spark: SparkSession, folder: str, name: str, prefix: str = "rag_") -> bool:
+    """Whether the folder holds a table of the store."""
+    return catalog(spark, folder, prefix).where(F.col("table_name") == f"{prefix}{name}").limit(1).count() > 0
+
+
 def violations(store: Store) -> DataFrame:
     """rule STRING, n BIGINT: how many keys or rows break each rule of the store; rules that hold have 0. Only keys are shuffled."""
     n = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0)).alias("n")

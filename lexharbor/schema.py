@@ -1,24 +1,18 @@
 """The types of the store's tables, of hits, and of imported records."""
 
-from __future__ import annotations
+from pyspark.sql.types import StructType
 
-from pyspark.sql import types as T
-
-
-def _struct(fields: str) -> T.StructType:
-    kinds = {"string": T.StringType(), "int": T.IntegerType(), "double": T.DoubleType(), "timestamp": T.TimestampNTZType(), "vector": T.ArrayType(T.FloatType())}
-    out = T.StructType()
-    for part in fields.split():
-        name, kind = part.split(":")
-        out = out.add(name, kinds[kind.rstrip("!")], not kind.endswith("!"))
-    return out
-
-
-CORPUS = _struct("corpus_id:string! name:string! description:string created_at:timestamp!")
-DOCUMENT = _struct("document_id:string! corpus_id:string! external_id:string! title:string uri:string hash_sha256:string meta:string! created_at:timestamp! updated_at:timestamp!")
-CHUNK = _struct("chunk_id:string! document_id:string! chunk_index:int! content:string! char_start:int char_end:int meta:string! created_at:timestamp!")
-EMBEDDING = _struct("chunk_id:string! model:string! embedding_dim:int! v:vector! created_at:timestamp!")
-HIT = _struct("chunk_id:string corpus_name:string title:string content:string rrf_score:double dense_rank:int fts_rank:int meta:string")
-RECORD = _struct("id:string text:string metadata:string embedding:vector")
-WORD = _struct("page:int text:string x0:double top:double fontname:string")
-PAGE = _struct("page:int md:string")
+CORPUS = StructType.fromDDL("corpus_id STRING NOT NULL, name STRING NOT NULL, description STRING, created_at TIMESTAMP_NTZ NOT NULL")
+DOCUMENT = StructType.fromDDL(
+    "document_id STRING NOT NULL, corpus_id STRING NOT NULL, external_id STRING NOT NULL, title STRING, uri STRING, hash_sha256 STRING, meta STRING NOT NULL, "
+    "created_at TIMESTAMP_NTZ NOT NULL, updated_at TIMESTAMP_NTZ NOT NULL"
+)
+CHUNK = StructType.fromDDL(
+    "chunk_id STRING NOT NULL, document_id STRING NOT NULL, chunk_index INT NOT NULL, content STRING NOT NULL, char_start INT, char_end INT, meta STRING NOT NULL, "
+    "created_at TIMESTAMP_NTZ NOT NULL"
+)
+EMBEDDING = StructType.fromDDL("chunk_id STRING NOT NULL, model STRING NOT NULL, embedding_dim INT NOT NULL, v ARRAY<FLOAT> NOT NULL, created_at TIMESTAMP_NTZ NOT NULL")
+HIT = StructType.fromDDL("chunk_id STRING, corpus_name STRING, title STRING, content STRING, rrf_score DOUBLE, dense_rank INT, fts_rank INT, meta STRING")
+RECORD = StructType.fromDDL("id STRING, text STRING, metadata STRING, embedding ARRAY<FLOAT>")
+WORD = StructType.fromDDL("page INT, text STRING, x0 DOUBLE, top DOUBLE, fontname STRING")
+PAGE = StructType.fromDDL("page INT, md STRING")

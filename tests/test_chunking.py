@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from lexharbor.operators.chunking import chunk_guide, chunk_reference, chunk_stats, dedup_ids, lines, sections, split_words, with_boundaries
-from lexharbor.operators.pages import code_lines, kept_pages, repair_pages, repaired
+from lexharbor.operators.pages import code_lines, extract, mend_code
 from lexharbor.operators.ranking import row_numbers
 
 TABLE = "|Command group|Flag affected|Reversible|Execute on client|\n|---|---|---|---|\n|Valves|YES|NO|YES|"
@@ -91,9 +91,29 @@ def test_guide_chunks(spark):
 
 
 def test_code_repair(spark):
-    assert repaired("a\n```\nx=1\nfo r\n\nif ab\nother\n```\n", ["x = 1", "x =  1", "if a b then", "fo rever"]) == "a\n```\nx =  1\nfo r\n\nif a b\nother\n```\n"
-    assert repaired("```\nx\n```", []) == "```\nx\n```" and repaired("```text\nx\n```", ["x y"]) == "```text\nx\n```"
+    assert mend_code("a\n```\nx=1\nfo r\n\nif ab\nother\n```\n", ["x = 1", "x =  1", "if a b then", "fo rever"]) == "a\n```\nx =  1\nfo r\n\nif a b\nother\n```\n"
+    assert mend_code("```\nx\n```", []) == "```\nx\n```" and mend_code("```text\nx\n```", ["x y"]) == "```text\nx\n```"
     words = spark.createDataFrame([("d", 1, "b", 2.0, 7.4, "X"), ("d", 1, "a", 1.0, 6.6, "MonoX"), ("d", 2, "p", 1.0, 1.0, "Serif"), ("d", 2, "q", 2.0, 1.0, "Mono")], "doc string, page int, text string, x0 double, top double, fontname string")
     assert [tuple(r) for r in code_lines(words).collect()] == [("d", 1, 7, "a b")]
     pages = spark.createDataFrame([("d", 2, "two"), ("d", 1, "```\nab\n```"), ("d", 3, "skipped")], "doc string, page int, md string")
-    assert [tuple(r) for r in repair_pages(kept_pages(pages, [3]), code_lines(words)).collect()] == [("d", "```\na b\n```\n\ntwo")]
+    assert [tuple(r) for r in extract(pages, words, [3]).collect()] == [("d", "```\na b\n```\n\ntwo")]
+
+
+def brute_mended(line, lines):
+    key = "".join(line.split())
+    same = [x for x in lines if "".join(x.split()) == key]
+    longer = [x for x in lines if "".join(x.split()).startswith(key)]
+    if not key or not longer:
+        return line
+    if same:
+        return same[-1]
+    return next(longer[0][:n] for n in range(len(longer[0]) + 1) if sum(x != " " for x in longer[0][:n]) == len(key))
+
+
+def test_mended_lines_against_brute_force():
+    rnd = random.Random(4)
+    make = lambda: "".join(rnd.choice("ab c") for _ in range(rnd.randint(0, 6)))
+    for _ in range(300):
+        lines = [make() for _ in range(rnd.randint(0, 8))]
+        for line in [make() for _ in range(6)]:
+            assert mend_code(f"```\n{line}x\n```".replace("x", ""), lines) == f"```\n{brute_mended(line, lines)}\n```" or not line

@@ -36,7 +36,7 @@ def test_import_twice_and_sync(spark):
         ("p", "", {"source": "Programming", "section": "P"}, None, 6),
     ]
     once, counters = st.import_records(empty(spark), records(spark, rows), "m", F.lit(T))
-    assert tuple(counters.first()) == (6, 4, 2)
+    assert counters.first().asDict() == {"read": 6, "imported": 4, "skipped": 2, "errors": 0, "removed": 0}
     docs = {(r.corpus_id, r.external_id): r for r in once.document.collect()}
     assert {k: r.title for k, r in docs.items()} == {("k0", "x"): "S", ("k1", "x"): "x", ("k2", "p"): "P"}
     assert sorted(r.content for r in once.chunk.collect()) == ["", "new", "other corpus"] and once.embedding.count() == 2

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from lexharbor.functions import metadata, vectors
-from lexharbor.functions.text import clean, heading, preview, slug, slug_text, strip, tokens, word_count, words
+from lexharbor.functions.text import clean, heading, preview, slug, strip, tokens, word_count, words
 
 
 def one(spark, text, *columns):
@@ -30,7 +30,8 @@ def test_words_and_tokens(spark):
 
 
 def test_slugs(spark):
-    assert [slug_text(x) for x in ("Größe -- der Liste!", "日本", "a_b c", "x" * 90, "")] == ["groe_der_liste", "", "a_b_c", "x" * 80, ""]
+    cases = spark.createDataFrame([(x,) for x in ("Größe -- der Liste!", "日本", "a_b c", "x" * 90, "", " \t!a\u00a0 b- ", None)], "t string")
+    assert [r[0] for r in cases.select(slug(F.col("t"))).collect()] == ["groe_der_liste", "", "a_b_c", "x" * 80, "", "a_b_", None]
     assert one(spark, "É b", slug(F.col("t"))) == ("e_b",) and one(spark, None, slug(F.col("t"))) == (None,)
 
 
