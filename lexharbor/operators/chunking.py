@@ -15,7 +15,7 @@ from lexharbor.operators.ranking import row_numbers
 SUBSECTIONS = ("Syntax", "Description", "Options", "Example", "Examples", "Parameters", "Notes", "Note", "Commands", "Functions", "About This Manual", "Copyright info")
 # Signs of an entry's table, and the form of a chapter's heading.
 MARKERS = ("|Command group|", "|Function group|")
-CHAPTER = r"^## \*\*Chapter (\d+)—(.+?)\*\*\s*$"
+CHAPTER = r"^## \*\*Chapter (\d+)—([^\n]+?)\*\*\s*$"
 MAX_WORDS, SIZE, OVERLAP, LOOK_AHEAD, LEAST_WORDS = 700, 500, 50, 9, 30
 
 
@@ -136,7 +136,7 @@ def chunk_guide(docs: DataFrame, start: int = 2, exclude: Sequence[int] = (1, 4)
         F.max(F.when(F.col("boundary"), F.col("heading"))).alias("heading"), F.max(F.when(F.col("boundary"), F.col("number"))).alias("number"),
         F.coalesce(F.max("chapter"), F.lit(0)).alias("chapter"), F.coalesce(F.max("chapter_title"), F.lit("")).alias("chapter_title"), strip(body).alias("whole"),
     )
-    no_bullets = lambda c: strip(F.regexp_replace(c, r"(?m)^## •.*$", ""))
+    no_bullets = lambda c: strip(F.regexp_replace(c, r"(?md)^## •.*$", ""))
     intro = no_bullets(strip(F.regexp_replace("whole", r"^##[^\n]*\n", "")))
     is_chapter = F.col("number").isNotNull()
     kept = F.when(is_chapter, word_count(intro) >= LEAST_WORDS).otherwise(~F.col("chapter").isin(*exclude) & ~F.startswith("heading", F.lit("•")) & ~F.col("heading").isin(*subsections))
