@@ -99,7 +99,7 @@ def text_score(found: Column, query: TextQuery) -> Column:
 
 def text_scores(store: Store, query: TextQuery, names: Sequence[str] | None = None) -> DataFrame:
     """chunk_id, document_id, corpus_name, score of all chunks that answer the query; one pass over the texts, of which only scores are shuffled."""
-    scored = store.chunks(document_id=F.col("document_id"), score=text_score(tokens(F.col("content")), query)).where("score IS NOT NULL")
+    scored = store.chunks({"_tokens": tokens(F.col("content"))}, document_id=F.col("document_id"), score=text_score(F.col("_tokens"), query)).where("score IS NOT NULL")
     return scored.join(_documents(store, names), "document_id").select("chunk_id", "document_id", "corpus_name", "score")
 
 
@@ -156,8 +156,9 @@ def hybrid(store: Store, vector: Sequence[float], text: str | None, k_by_corpus:
     query = (parse_all if parser == "all" else parse_web)(text)
     names = list(k_by_corpus)
     most = max([candidate_k if candidate_k is not None else k for k in k_by_corpus.values()], default=0)
-    score = F.lit(None).cast("double") if query is None else text_score(tokens(F.col("content")), query)
-    chunk = store.chunks(document_id=F.col("document_id"), score=score).join(_distances(store, vector), "chunk_id", "left")
+    words = {} if query is None else {"_tokens": tokens(F.col("content"))}
+    score = F.lit(None).cast("double") if query is None else text_score(F.col("_tokens"), query)
+    chunk = store.chunks(words, document_id=F.col("document_id"), score=score).join(_distances(store, vector), "chunk_id", "left")
     lists = F.filter(F.array(F.struct(F.lit("d").alias("list"), F.col("dist").alias("by")), F.struct(F.lit("t").alias("list"), (-F.col("score")).alias("by"))), lambda x: x["by"].isNotNull())
     of = chunk.where("dist IS NOT NULL OR score IS NOT NULL").join(_documents(store, names), "document_id")
     entries = of.select("corpus_name", "chunk_id", "document_id", F.inline(lists))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lexharbor.functions.metadata import merged, title
 from lexharbor.functions.vectors import rounded
 from lexharbor.operators.dedup import last_wins, newest, null_key
-from lexharbor.session import bounded
+from lexharbor.session import bounded, spread
 
 # Kind of corpus that each source of the manuals goes to.
 SOURCES = {"CommandRef": "commands", "FunctionRef": "functions", "Programming": "programming"}
@@ -31,19 +31,20 @@ class Store:
     embedding: DataFrame
     stored: tuple[DataFrame, DataFrame] | None = None
 
-    def chunks(self, **columns: Column) -> DataFrame:
-        """chunk_id and the columns, computed from those of each chunk."""
-        return _columns(self.chunk, self.stored and self.stored[0], columns)
+    def chunks(self, first: dict[str, Column] | None = None, **columns: Column) -> DataFrame:
+        """chunk_id and the columns, computed from those of each chunk, and from those of `first`, which are computed once before them."""
+        return _columns(self.chunk, self.stored and self.stored[0], first or {}, columns)
 
     def vectors(self, **columns: Column) -> DataFrame:
         """chunk_id and the columns, computed from those of each embedding."""
-        return _columns(self.embedding, self.stored and self.stored[1], columns)
+        return _columns(self.embedding, self.stored and self.stored[1], {}, columns)
 
 
-def _columns(one: DataFrame, stored: DataFrame | None, columns: dict[str, Column]) -> DataFrame:
+def _columns(one: DataFrame, stored: DataFrame | None, first: dict[str, Column], columns: dict[str, Column]) -> DataFrame:
+    rows = (one if stored is None else stored).withColumns(first)
     if stored is None:
-        return one.select("chunk_id", *[c.alias(n) for n, c in columns.items()])
-    return newest(stored, ["chunk_id"], ["created_at"], **columns)
+        return rows.select("chunk_id", *[c.alias(n) for n, c in columns.items()])
+    return newest(rows, ["chunk_id"], ["created_at"], **columns)
 
 
 def read_store(spark: SparkSession, folder: str, prefix: str = "rag_", repeated: bool = True) -> Store:
@@ -51,7 +52,7 @@ def read_store(spark: SparkSession, folder: str, prefix: str = "rag_", repeated:
 
     repeated=False reads tables without repeated rows, such as `write_store` leaves, as they are: nothing is shuffled."""
     t = lambda name: spark.read.parquet(f"{folder}/{prefix}{name}.parquet")
-    chunk, embedding = t("chunk"), t("embedding").where(F.size("v") > 0)
+    chunk, embedding = spread(t("chunk")), spread(t("embedding")).where(F.size("v") > 0)
     if not repeated:
         return Store(t("corpus"), t("document"), chunk, embedding)
     return Store(t("corpus"), t("document"), last_wins(chunk, ["chunk_id"], ["created_at"]), last_wins(embedding, ["chunk_id"], ["created_at"]), (chunk, embedding))

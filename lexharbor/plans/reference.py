@@ -54,7 +54,7 @@ def dense_min_score(spark, d):
 
 def fts_match_and(spark, d):
     s = _store(spark, d)
-    return s.chunks(found=retrieval.matches(tokens(F.col("content")), queries.parse_all("search field toolbar"))).where("found").select("chunk_id")
+    return s.chunks({"t": tokens(F.col("content"))}, found=retrieval.matches(F.col("t"), queries.parse_all("search field toolbar"))).where("found").select("chunk_id")
 
 
 def fts_single_term_tf(spark, d):
@@ -69,8 +69,8 @@ def fts_cover_density(spark, d):
 
 def web_query(spark, d):
     s = _store(spark, d)
-    t = tokens(F.col("content"))
-    return s.chunks(n_tokens=F.size(t), found=retrieval.matches(t, queries.parse_web(WEB))).where("found").select("chunk_id", "n_tokens")
+    t = F.col("t")
+    return s.chunks({"t": tokens(F.col("content"))}, n_tokens=F.size(t), found=retrieval.matches(t, queries.parse_web(WEB))).where("found").select("chunk_id", "n_tokens")
 
 
 def web_query_rank(spark, d):
