@@ -33,6 +33,10 @@ NAMES = {
 CODES = {name: code for code, names in NAMES.items() for name in [code, *names.split()]}
 
 
+#: Sentences whose n-grams are held at a time; so many that they stay in a core's cache.
+BLOCK = 500
+
+
 @dataclass(frozen=True)
 class Setting:
     """How the classifier is fitted. The sample is bounded by per_label x labels documents of at most sample_chars characters."""
@@ -68,18 +72,31 @@ _PHRASE = re.compile("[\ufdf0-\ufdff]")
 _WIDE = "\u0e3a"
 
 
+_CODE_SIGN = re.compile(r"[=<>*/:{\[(;#@&|+]")
+#: What tokens come to, remembered up to this many of them.
+_MOST_TOKENS = 200_000
+_TOKENS: dict[str, tuple[str, ...]] = {}
+
+
+def _token(token: str) -> tuple[str, ...]:
+    word = token.strip(_OUTER)
+    if word.isalpha():
+        return (word.lower(),) if word[1:].islower() or word.islower() or word.isupper() or not _NAME.search(word) else ()
+    return tuple(_NO_LETTER.sub(" ", word.lower()).split()) if word and not _NAME.search(word) else ()
+
+
 def _words(raw: str) -> list[str]:
     """The lower-case words of a text that look like no name of code and no number."""
     if not raw.isascii():
         raw = unicodedata.normalize("NFKC", _PHRASE.sub(" ", raw))
-    out = []
+    out: list[str] = []
     for token in raw.split():
-        word = token.strip(_OUTER)
-        if word.isalpha():
-            if word[1:].islower() or word.islower() or word.isupper() or not _NAME.search(word):
-                out.append(word.lower())
-        elif word and not _NAME.search(word):
-            out += _NO_LETTER.sub(" ", word.lower()).split()
+        known = _TOKENS.get(token)
+        if known is None:
+            if len(_TOKENS) >= _MOST_TOKENS:
+                _TOKENS.clear()
+            known = _TOKENS[token] = _token(token)
+        out += known
     return out
 
 
@@ -91,34 +108,42 @@ def sentences(text: str, s: Setting) -> list[tuple[int, int, str]]:
         for b in [*[m.end() for m in _END.finditer(text, a, end)], end]:
             raw = text[a:b]
             words = _words(raw)
-            letters = sum(map(len, words))
-            if letters >= s.letters:
-                wide = 0 if raw.isascii() else sum(x > _WIDE for w in words for x in w)
-                if (len(words) >= s.words or 2 * wide >= s.letters) and 4 * len(_CODE.findall(raw)) <= len(words):
-                    out.append((a, b, " " + " ".join(words) + " "))
+            plain = " ".join(words)
+            if len(plain) - len(words) + 1 >= s.letters:
+                wide = 0 if raw.isascii() else sum(x > _WIDE for x in plain)
+                if (len(words) >= s.words or 2 * wide >= s.letters) and (not _CODE_SIGN.search(raw) or 4 * len(_CODE.findall(raw)) <= len(words)):
+                    out.append((a, b, f" {plain} "))
             a = b
     return out
 
 
 def grams(plains: list[str], s: Setting) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(sentence, bucket, count) of the letter bigrams and trigrams, each once per sentence, in the order of the sentences."""
-    codes = np.frombuffer("\n".join([*plains, ""]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    codes = np.frombuffer("\n".join([*plains, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
     end = codes == 10
-    of = np.cumsum(end) - end
-    keys = []
-    for n, prime in ((2, 0x9E3779B97F4A7C15), (3, 0xC2B2AE3D27D4EB4F)):
-        if len(codes) < n:
-            continue
-        h = np.full(len(codes) - n + 1, n, np.uint64)
-        within = np.ones(len(h), bool)
-        for i in range(n):
-            part = slice(i, len(codes) - n + 1 + i)
-            h = (h ^ codes[part]) * np.uint64(prime)
-            h ^= h >> np.uint64(29)
-            within &= ~end[part]
-        keys.append((of[: len(h)].astype(np.uint64) * np.uint64(s.buckets) + h % np.uint64(s.buckets))[within])
-    both, count = np.unique(np.concatenate(keys) if keys else np.zeros(0, np.uint64), return_counts=True)
-    return (both // np.uint64(s.buckets)).astype(np.int64), (both % np.uint64(s.buckets)).astype(np.int64), count
+    of = (np.cumsum(end) - end).astype(np.uint64)
+    if len(codes) < 2:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    of *= np.uint64(s.buckets)
+    pair = (codes[:-1].astype(np.uint64) << np.uint64(21)) | codes[1:]
+    kind = np.uint32 if len(plains) * s.buckets < 1 << 32 else np.uint64
+    keys = [_hashed(pair, of, ~(end[:-1] | end[1:]), s, kind)]
+    if len(codes) > 2:
+        keys.append(_hashed((pair[:-1] << np.uint64(21)) | codes[2:], of, ~(end[:-2] | end[1:-1] | end[2:]), s, kind))
+    both = np.concatenate(keys)
+    both.sort()
+    first = np.flatnonzero(np.r_[True, both[1:] != both[:-1]]) if len(both) else np.zeros(0, np.int64)
+    count = np.diff(np.r_[first, len(both)])
+    both = both[first].astype(np.int64)
+    return both // s.buckets, both % s.buckets, count
+
+
+def _hashed(gram: np.ndarray, of: np.ndarray, within: np.ndarray, s: Setting, kind: type) -> np.ndarray:
+    """sentence x buckets + bucket of the n-grams, given as one number each, that lie within a sentence."""
+    h = gram[within] * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    return (of[: len(within)][within] + (h >> np.uint64(40)) % np.uint64(s.buckets)).astype(kind)
 
 
 @dataclass
@@ -135,14 +160,22 @@ class Model:
     def cosines(self, plains: list[str]) -> np.ndarray:
         """The cosine of each sentence with each centroid."""
         out = np.zeros((len(plains), self.centroids.shape[1]), np.float32)
-        for lo in range(0, len(plains), 4000):
-            row, bucket, count = grams(plains[lo : lo + 4000], self.setting)
+        for lo in range(0, len(plains), BLOCK):
+            row, bucket, count = grams(plains[lo : lo + BLOCK], self.setting)
             if len(row):
-                w = ((1 + np.log(count)) * self.weights[bucket]).astype(np.float32)
+                w = self.weights[bucket]
+                many = count > 1
+                w[many] *= (1 + np.log(count[many])).astype(np.float32)
                 first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
                 norm = np.sqrt(np.add.reduceat(w * w, first))
+                w /= np.where(norm > 0, norm, 1).repeat(np.diff(np.r_[first, len(row)]))
+                one = np.empty(len(row), np.float32)
+                dots = np.empty((self.centroids.shape[1], len(first)), np.float32)
                 for j, c in enumerate(self.centroids.T):  # one after the other: several times as fast as all at once
-                    out[lo + row[first], j] = np.add.reduceat(w * c[bucket], first) / np.where(norm > 0, norm, 1)
+                    np.take(c, bucket, out=one, mode="clip")
+                    one *= w
+                    np.add.reduceat(one, first, out=dots[j])
+                out[lo + row[first]] = dots.T
         return out
 
     def classify(self, plains: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -230,8 +263,8 @@ def bucket_weights(docs: DataFrame, text: str, s: Setting) -> np.ndarray:
         for batch in batches:
             plains = [p for t in batch.column(0).to_pylist() if t for _, _, p in sentences(t, s)]
             n += len(plains)
-            for lo in range(0, len(plains), 4000):
-                np.add.at(seen, grams(plains[lo : lo + 4000], s)[1], 1)
+            for lo in range(0, len(plains), BLOCK):
+                seen += np.bincount(grams(plains[lo : lo + BLOCK], s)[1], minlength=s.buckets)
         used = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[used, -1]), pa.array(np.r_[seen[used], n])], names=["bucket", "n"])
 
@@ -247,11 +280,11 @@ def train(docs: DataFrame, doc: str = "doc_id", text: str = "text", lang: str =
     code = label_code(F.col(lang))
     w = Window.partitionBy("code").orderBy("draw", doc)  # its limit is applied before the shuffle too
     short = docs.where((F.length(text) <= s.sample_chars) & (F.length(text) > 0)).select(doc, F.xxhash64(F.lit(1), F.col(doc).cast("string")).alias("draw"), code.alias("code"))
-    drawn = short.where(F.col("code").isNotNull()).withColumn("n", F.row_number().over(w)).where(F.col("n") <= s.per_label)
-    picked = drawn.select(F.col(doc).alias("_doc"), F.col("code").alias("_code"))
-    sample = docs.select(doc, text).join(F.broadcast(picked), F.col(doc) == F.col("_doc")).where(F.length(text) <= s.sample_chars).select(F.col(text).alias("text"), "_code", "_doc")
-    rows = sample.limit(2 * s.per_label * len(NAMES)).collect()
-    rows.sort(key=lambda r: (str(r["_doc"]), r["text"]))
+    drawn = short.where(F.col("code").isNotNull()).distinct().withColumn("n", F.row_number().over(w)).where(F.col("n") <= s.per_label)
+    picked = drawn.select(F.col(doc).alias("_doc"), F.col("code").alias("_code"))  # per_label of each language at most
+    of = docs.where(F.length(text) <= s.sample_chars).join(F.broadcast(picked), (F.col(doc) == F.col("_doc")) & (code == F.col("_code")))
+    rows = of.groupBy("_doc", "_code").agg(F.min(text).alias("text")).collect()  # of rows of one document and label the least text: as many as were picked
+    rows.sort(key=lambda r: (str(r["_doc"]), r["_code"]))
     return fit([(r["text"], r["_code"]) for r in rows], bucket_weights(docs, text, s), s)
 
 

@@ -82,3 +82,15 @@ def test_empty_table(spark):
 def test_sentences_keep_offsets():
     text = "First of all, this is a sentence. Then: another one stands here!\r\nkNodeSize = 4\nHi."
     assert [text[a:b].strip() for a, b, _ in sentences(text, Setting())] == ["First of all, this is a sentence.", "Then: another one stands here!"]
+
+
+def test_repeated_documents_leave_the_model_as_it_is(spark):
+    from lexharbor.llm.languages import fit
+
+    rows = [(i, ("The pump is opened before the tank is filled with water again. " if i % 2 else "Die Pumpe wird geöffnet, bevor der Behälter wieder mit Wasser gefüllt wird. ") * 3, "en" if i % 2 else "German") for i in range(40)]
+    one = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    again = spark.createDataFrame([*rows, *rows[:7] * 50], "doc_id long, text string, lang string").repartition(5)
+    a, b = (train(df) for df in (one, again))
+    assert a.languages == b.languages == ["de", "en"]
+    drawn = [fit([(t, {"German": "de"}.get(c, c)) for _, t, c in sorted(rows, key=lambda r: str(r[0]))], b.weights)]
+    assert np.allclose(b.centroids, drawn[0].centroids, atol=1e-5) and np.array_equal(*(train(again.orderBy(o)).centroids for o in ("doc_id", "text")))
