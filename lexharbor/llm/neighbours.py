@@ -9,7 +9,7 @@ Lists are compared as blocks of a bounded size.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +20,12 @@ from pyspark.sql.types import BinaryType
 from lexharbor.session import cut
 
 
+#: Up to so many centroids a search keeps a table of those it has seen.
+SEEN = 8192
+#: Classes of copies that are sent to all tasks, at most, each with k + 1 items; and by how many salts more are joined.
+MOST_SENT, SALTS = 10_000, 16
+
+
 @dataclass(frozen=True)
 class Setting:
     """What the index is built by. Every vector is indexed; only the centroids are fitted on a sample."""
@@ -119,13 +125,16 @@ class Lists:
 
     def _beam(self, x: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         c, m = self.centroids, len(x)
-        seen = np.zeros((m, len(c)), bool)
+        # A centroid that left the beam was farther than all in it and cannot come back, so that it is enough to know what is in the beam; where
+        # centroids are few, a table of all that were seen is the faster way to the same.
+        seen = np.zeros((m, len(c)), bool) if len(c) <= SEEN else None
         start = self.entries[:beam]
         ids = np.full((m, beam), -1, np.int64)
         cos = np.full((m, beam), -2, np.float32)
         ids[:, : len(start)] = start
         cos[:, : len(start)] = x @ c[start].T
-        seen[:, start] = True
+        if seen is not None:
+            seen[:, start] = True
         done = np.zeros((m, beam), bool)
         done[:, len(start) :] = True
         rows = np.arange(m)
@@ -133,8 +142,11 @@ class Lists:
             next_ = np.where(done[rows], -3, cos[rows]).argmax(axis=1)
             done[rows, next_] = True
             near = self.graph[ids[rows, next_]]
-            fresh = (near >= 0) & ~seen[rows[:, None], near]
-            seen[rows[:, None], near] = True
+            if seen is not None:
+                fresh = (near >= 0) & ~seen[rows[:, None], near]
+                seen[rows[:, None], near] = True
+            else:
+                fresh = (near >= 0) & ~(near[:, :, None] == ids[rows][:, None, :]).any(axis=2)
             got = np.where(fresh, np.matmul(c[near], x[rows][:, :, None])[:, :, 0], -2)
             all_cos = np.concatenate([cos[rows], got], axis=1)
             all_ids = np.concatenate([ids[rows], near], axis=1)
@@ -193,7 +205,7 @@ def fit(sample: np.ndarray, rows: int, s: Setting, seed: int = 7) -> Lists:
             graph[lo : lo + 1024, :degree] = np.argpartition(-cos, degree - 1, axis=1)[:, :degree]
     for e in entries:  # both ways between a top part's entry and its members, so that all can be reached
         members = np.flatnonzero(tops == tops[e])
-        graph[members, degree] = e
+        graph[members[~(graph[members, :degree] == e).any(axis=1)], degree] = e
     return Lists(c, graph, entries)
 
 
@@ -236,8 +248,9 @@ def _classes(rows: DataFrame, item: str, k: int) -> DataFrame:
     return few.groupBy("unit").agg(F.array_sort(F.collect_list(item)).alias("ids"))
 
 
-def similar(df: DataFrame, k: int = 5, dim: int = 64, item: str = "chunk_id", v: str = "v", dim_column: str | None = "embedding_dim", latest: str = "created_at", s: Setting = Setting()) -> DataFrame:
-    """item, neighbour, cosine FLOAT, rank INT: for every item with a usable vector the `k` others of highest cosine, nearly always.
+def similar(df: DataFrame, k: int = 5, dim: int = 64, item: str = "chunk_id", v: str = "v", dim_column: str | None = "embedding_dim", latest: str = "created_at", s: Setting = Setting(), exact: bool = False) -> DataFrame:
+    """item, neighbour, cosine FLOAT, rank INT: for every item with a usable vector the `k` others of highest cosine, nearly always; always with
+    `exact`, where each vector asks all lists, in blocks, in quadratic time.
 
     A usable vector has `dim` finite numbers that are not all 0; all others, and rows with a NULL item, are left out. Repeated rows of an
     item count once: the last by `latest` of its usable ones, then the greatest as packed bytes. Length does not matter. Equal cosines are ordered
@@ -263,6 +276,8 @@ def similar(df: DataFrame, k: int = 5, dim: int = 64, item: str = "chunk_id", v:
         return empty
     sample = _matrix(picked, dim)
     lists = fit(sample, n, s)
+    if exact:
+        s = replace(s, lists=len(lists.centroids), beam=len(lists.centroids), ask_ratio=float("inf"))
     lists.measure(sample, n, s)
     sent = spark.sparkContext.broadcast(lists)
     key = sent._jbroadcast.id()
@@ -307,13 +322,20 @@ def similar(df: DataFrame, k: int = 5, dim: int = 64, item: str = "chunk_id", v:
     other = found.withColumn("n", F.row_number().over(by_cosine)).where(F.col("n") <= k + 1 - F.size("from"))
     other = other.select(F.explode("from").alias("item"), "neighbour", "cosine", (F.col("n") + F.size("from") - 1).alias("rank"))
 
-    # items of one class: the least others; salted, as a class may hold a third of all rows
-    salts = 16
+    # items of one class: the least others. A class of no more than k items holds them all; of a larger one, which may hold a third of all
+    # rows, the items are found by its digest: where such classes are few they are sent to the items, else the join is salted.
+    small = classes.where(F.size("ids").between(2, k)).select(F.explode("ids").alias("item"), "ids")
     digest = F.unhex(F.md5("unit")).alias("unit")
-    shared = classes.where(F.size("ids") > 1).select(digest, "ids", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    mine = rows.select("item", digest).withColumn("salt", F.pmod(F.xxhash64("item"), F.lit(salts)).cast("int")).join(shared, ["unit", "salt"])
+    large = classes.where(F.size("ids") > k).select(digest, "ids")
+    own = rows.select("item", digest)
+    if large.limit(MOST_SENT + 1).count() <= MOST_SENT:
+        mine = own.join(F.broadcast(large), "unit")
+    else:
+        salted = large.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        mine = own.withColumn("salt", F.pmod(F.xxhash64("item"), F.lit(SALTS)).cast("int")).join(salted, ["unit", "salt"])
     least = F.slice(F.filter("ids", lambda x: x != F.col("item")), 1, k)
-    equal = mine.select("item", F.posexplode(least).alias("rank", "neighbour")).select("item", "neighbour", F.lit(1.0).cast("float").alias("cosine"), (F.col("rank") + 1).alias("rank"))
+    equal = small.unionByName(mine.select("item", "ids")).select("item", F.posexplode(least).alias("rank", "neighbour"))
+    equal = equal.select("item", "neighbour", F.lit(1.0).cast("float").alias("cosine"), (F.col("rank") + 1).alias("rank"))
     return equal.unionByName(other)
 
 

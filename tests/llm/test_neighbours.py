@@ -3,6 +3,7 @@ import datetime as dt
 import numpy as np
 import pytest
 
+from lexharbor.llm import neighbours
 from lexharbor.llm.neighbours import Setting, fit, pairs, similar, unit
 
 T = dt.datetime(2025, 1, 1)
@@ -78,3 +79,28 @@ def test_the_graph_finds_the_nearest_centroids():
     assert (ids[:, 0] == (x[:1000] @ lists.centroids.T).argmax(axis=1)).mean() > 0.97
     sizes = np.bincount((x @ lists.centroids.T).argmax(axis=1))
     assert sizes.max() < 5 * 24
+
+
+def test_exact_asks_all_lists(spark):
+    v = {f"c{i:04d}": [float(np.float32(x)) for x in row] for i, row in enumerate(topics(700, 8, 5))}
+    df = frame(spark, [(i, 8, x, 0) for i, x in v.items()])
+    s = Setting(list_size=20, lists=1, ask_ratio=1.0, replicas=1, beam=4, block=9, ask_block=13)
+    mine, rough, want = got(df, dim=8, s=s, exact=True), got(df, dim=8, s=s), brute(v, 5)
+    assert mine == want and rough != want
+
+
+def test_searches_with_and_without_a_table_of_the_seen_agree(monkeypatch):
+    x = unit(topics(4000, 16, 6, 40))
+    lists = fit(x, len(x), Setting(list_size=16))
+    with_table = lists.search(x[:500], 24)
+    monkeypatch.setattr(neighbours, "SEEN", 10)
+    without = lists.search(x[:500], 24)
+    assert len(lists.centroids) > 200 and np.array_equal(with_table[0], without[0])
+    assert all(len(set(row)) == len(row) for row in without[0].tolist())
+
+
+def test_many_large_classes_are_joined_by_salts(spark, monkeypatch):
+    rows = [(f"a{c:02d}{i:02d}", 2, [float(c), 1.0], 0) for c in range(12) for i in range(9)]
+    sent = got(frame(spark, rows), dim=2)
+    monkeypatch.setattr(neighbours, "MOST_SENT", 3)
+    assert got(frame(spark, rows), dim=2) == sent and len(sent) == 108 and all(len(n) == 5 for n in sent.values())
