@@ -147,7 +147,9 @@ class Lists:
                 seen[rows[:, None], near] = True
             else:
                 fresh = (near >= 0) & ~(near[:, :, None] == ids[rows][:, None, :]).any(axis=2)
-            got = np.where(fresh, np.matmul(c[near], x[rows][:, :, None])[:, :, 0], -2)
+            at, _ = np.nonzero(fresh)
+            got = np.full(near.shape, -2, np.float32)
+            got[fresh] = np.einsum("id,id->i", c[near[fresh]], x[rows[at]])
             all_cos = np.concatenate([cos[rows], got], axis=1)
             all_ids = np.concatenate([ids[rows], near], axis=1)
             all_done = np.concatenate([done[rows], ~fresh], axis=1)
