@@ -13,7 +13,8 @@ from lexharbor.session import cut
 K = 60
 #: Requests with more hits than this are ranked in bins, each by its own task.
 HOT = 50_000
-BINS = 64
+#: Bins of a request too large for one task: one for every HOT hits of the largest, from 64 to 1,024.
+BINS = (64, 1024)
 #: Scores are summed in this many decimals, so that ties stay ties whatever the order of the sum.
 DECIMALS = 12
 SEARCH_SCORES = {"rrf_score": "desc", "dense_rank": "asc", "fts_rank": "asc"}
@@ -31,15 +32,16 @@ def _ranked(df: DataFrame, request: str, cost: str, rank: str) -> DataFrame:
     return df.withColumn(rank, F.rank().over(w).cast("long"))
 
 
-def _ranked_in_bins(df: DataFrame, request: str, cost: str, rank: str, item: str) -> DataFrame:
+def _ranked_in_bins(df: DataFrame, request: str, cost: str, rank: str, item: str, bins: int) -> DataFrame:
     """As `_ranked`, of requests too large for one task.
 
     Bins are cut at approximate quantiles of each request; a rank is the number of hits in better bins plus the rank within the bin. A
     value that is several quantiles at once, and NULL, is a bin of its own where all tie and nothing is sorted.
     """
-    at = [i / BINS for i in range(1, BINS)]
+    n_bins = bins
+    at = [i / n_bins for i in range(1, n_bins)]
     salts = 64
-    edges = df.groupBy(request).agg(F.percentile_approx(cost, F.array(*map(F.lit, at)), 2_000).alias("_edges"))
+    edges = df.groupBy(request).agg(F.percentile_approx(cost, F.array(*map(F.lit, at)), 30 * n_bins).alias("_edges"))
     edges = edges.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     edges = edges.withColumnRenamed(request, "_request")
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(item), F.lit(salts)).cast("int"))
@@ -48,7 +50,7 @@ def _ranked_in_bins(df: DataFrame, request: str, cost: str, rank: str, item: str
     heavy = F.size(F.filter("_edges", lambda e: e == F.col(cost))) > 1
     below = F.size(F.filter("_edges", lambda e: e < F.col(cost)))
     bins = at_edges.withColumn("_ties", F.col(cost).isNull() | heavy).withColumn(
-        "_bin", F.when(F.col(cost).isNull(), 2 * BINS + 2).otherwise(2 * below + heavy.cast("int"))
+        "_bin", F.when(F.col(cost).isNull(), 2 * n_bins + 2).otherwise(2 * below + heavy.cast("int"))
     )
     bins = cut(bins.drop("_edges"))  # read three times below
     before = Window.partitionBy(request).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
@@ -87,12 +89,14 @@ def fuse(
     for i, (s, way) in enumerate(scores.items()):
         one = one.withColumn(f"_cost{i}", _cost(s, way))
     one = one.select(request, item, *[f"_cost{i}" for i in range(len(scores))])
-    sizes = one.groupBy(request).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot).select(F.col(request).alias("_hot"))
+    sizes = one.groupBy(request).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot).select(F.col(request).alias("_hot"), "_n")
     is_hot = F.col(request).eqNullSafe(F.col("_hot"))
-    hot_ids = [r[0] for r in sizes.limit(1).collect()]  # only whether there are any
-    parts = [one.join(sizes, is_hot, "left_anti"), cut(one.join(sizes, is_hot, "left_semi"))] if hot_ids else [one]
+    most = sizes.agg(F.max("_n")).first()[0]  # NULL if no request is so large
+    bins = min(BINS[1], max(BINS[0], -(-(most or 0) // hot)))
+    sizes = sizes.select("_hot")
+    parts = [one.join(sizes, is_hot, "left_anti"), cut(one.join(sizes, is_hot, "left_semi"))] if most else [one]
     done = []
-    for part, rank_by in zip(parts, (_ranked, lambda *a: _ranked_in_bins(*a, item)), strict=False):
+    for part, rank_by in zip(parts, (_ranked, lambda *a: _ranked_in_bins(*a, item, bins)), strict=False):
         for i, s in enumerate(scores):
             part = rank_by(part, request, f"_cost{i}", f"rank_{s}")
         total = sum((F.lit(1.0) / (F.lit(float(k)) + F.col(f"rank_{s}")) for s in scores), F.lit(0.0))

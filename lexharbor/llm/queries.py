@@ -69,6 +69,13 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.shares(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_target"))
 
 
+def p7_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the documents of each source are taken where sizes are in characters, as the table has them."""
+    docs = table(spark, sf_dir, "documents")
+    sizes = docs.select("doc_id", mixture.source_name(F.col("source")).alias("source"), F.coalesce("n_chars", F.lit(0)).alias("n_tokens"))
+    return mixture.rates(sizes, table(spark, sf_dir, "mix_target")).select("source", "documents", F.col("available_tokens").alias("available"), F.round("rate", 6).alias("rate"))
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
@@ -91,7 +98,7 @@ QUERIES = {
     "p3_found": p3_found, "p3_pieces": p3_pieces,
     "p4_found": p4_found, "p4_neighbours": p4_neighbours,
     "p6_ids": p6_ids,
-    "p7_mix": p7_mix, "p7_shares": p7_shares,
+    "p7_mix": p7_mix, "p7_shares": p7_shares, "p7_rates": p7_rates,
     "p8_found": p8_found, "p8_passages": p8_passages,
 }
 
@@ -110,6 +117,11 @@ fused AS (
 """
 
 SQL = {
+    "p7_rates": """WITH d AS (SELECT nullif(lower(trim(source)), '') AS source, coalesce(n_chars, 0) AS n FROM documents),
+s AS (SELECT source, count(*) AS documents, sum(n)::BIGINT AS available FROM d GROUP BY source),
+t AS (SELECT nullif(lower(trim(source)), '') AS source, sum(target_share) AS share, min(max_repeats) AS most FROM mix_target GROUP BY 1)
+SELECT t.source, coalesce(documents, 0) AS documents, coalesce(available, 0) AS available,
+round(CASE WHEN available > 0 AND share > 0 AND most > 0 THEN least(share * (SELECT sum(n) FROM d) / available, most) ELSE 0 END, 6) AS rate FROM t LEFT JOIN s USING (source)""",
     "p2_found": _FUSED + """SELECT query_id, chunk_id FROM (
   SELECT query_id, chunk_id, row_number() OVER (PARTITION BY query_id ORDER BY fused DESC, chunk_id) AS n FROM fused) WHERE n = 1""",
     "p2_ranking": _FUSED + "SELECT *, rank() OVER (PARTITION BY query_id ORDER BY fused DESC) AS position FROM fused",

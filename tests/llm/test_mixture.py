@@ -1,4 +1,6 @@
-from lexharbor.llm.mixture import REACHABLE, mix, shares
+import random
+
+from lexharbor.llm.mixture import REACHABLE, mix, rates, shares
 
 
 def tables(spark):
@@ -51,3 +53,31 @@ def test_empty_tables(spark):
     assert mix(docs.limit(0), targets).count() == 0
     assert mix(docs, targets.limit(0)).count() == 0
     assert all(r.actual_share == 0 for r in shares(docs.limit(0), targets).collect())
+
+
+def brute_fill(sources, total):
+    """Water filling: the level is found by bisection."""
+    taken = lambda t: {s: min(share * t / n, cap) if share and n and cap else 0.0 for s, (share, cap, n) in sources.items()}
+    reached = lambda t: sum(r * sources[s][2] for s, r in taken(t).items())
+    low, high = 0.0, 1e12
+    for _ in range(200):
+        low, high = ((low + high) / 2, high) if reached((low + high) / 2) < total else (low, (low + high) / 2)
+    return taken(high)
+
+
+def test_filled_rates_against_bisection(spark):
+    rnd = random.Random(3)
+    for _ in range(6):
+        sources = {f"s{i}": (rnd.choice([0.0, 0.1, 0.2, 0.4]), rnd.randint(0, 3), rnd.choice([0, 5, 50, 700])) for i in range(6)}
+        sizes = spark.createDataFrame([(i, s, n) for i, (s, (_, _, n)) in enumerate(sources.items()) if n] + [(99, None, 3)], "doc_id long, source string, n_tokens long")
+        targets = spark.createDataFrame([(s, share, cap) for s, (share, cap, _) in sources.items()], "source string, target_share double, max_repeats int")
+        for total in (None, 40.0, 1e6):
+            got = {r.source: r.rate for r in rates(sizes, targets, total, fill=True).collect()}
+            want = brute_fill(sources, total or sum(n for _, _, n in sources.values()) + 3)
+            assert all(abs(got[s] - want[s]) < 1e-6 for s in want), (sources, total, got, want)
+
+
+def test_filled_mixture_reaches_the_total(spark):
+    docs, targets = tables(spark)
+    plain, filled = ({r.source: r for r in shares(docs, targets, fill=f).collect()} for f in (False, True))
+    assert filled["small"].rate == 3.0 and filled["big"].rate >= plain["big"].rate and filled["mid"].rate > plain["mid"].rate
