@@ -15,7 +15,7 @@ from lexharbor.functions.text import CLEAN_RULES, clean, heading, preview, slug,
 from lexharbor.functions.vectors import literal, norm
 from lexharbor.operators import chunking, retrieval, search, store
 from lexharbor.operators.dedup import last_wins
-from lexharbor.operators.embed import HashingEmbedder, embed
+from lexharbor.operators.embed import HashingEmbedder, embed, embed_pending
 from lexharbor.operators.pages import code_lines, kept_pages, mended_pages
 from lexharbor.session import shared_dir, table
 from lexharbor.sources import files
@@ -346,10 +346,18 @@ def code_repair(spark, d):
 
 
 def embed_hash(spark, d):
-    vectors = embed(_store(spark, d).chunk.select("chunk_id", F.col("content").alias("text")), HashingEmbedder())
+    vectors = embed(_store(spark, d).chunks(text=F.col("content")), HashingEmbedder())
     return vectors.select("chunk_id", "embedding")
 
 
+def embed_run(spark, d):
+    """The records a run adds for the chunks that have no vector yet."""
+    s = _store(spark, d)
+    chunks = s.chunks(text=F.col("content")).withColumnRenamed("chunk_id", "id")
+    made = embed_pending(chunks, s.vectors(there=F.lit(1)).select(F.col("chunk_id").alias("id")), HashingEmbedder())
+    return made.select("id", F.md5("text").alias("text_md5"), F.size("embedding").alias("dim"))
+
+
 def chunk_manual(spark, d):
     """Every chunk cut as a manual of functions."""
     docs = _manuals(spark, d, (*_HEADS, (_TABLE, FUNCTION_HEAD)))
@@ -431,7 +439,7 @@ _ALL = (
     single_corpus_sum_k, multi_corpus_batch_queries, batch_dense, inverted_index, word_window_split, min_word_filter, chunk_stats_by_corpus, chunk_stats_total, id_occurrence_suffix,
     chapter_carry_forward, boundary_lookahead, heading_strip, clean_text, markdown_metadata, slugify, german_detect, german_rewrite, query_normalize, preset_k, pending_antijoin,
     upsert_documents, insert_ignore, stale_cleanup, cascade_orphans, last_wins_dedup, store_violations, title_fallback, source_labels, context_text, metadata_filter, import_counters,
-    hash_column, preview_text, page_code_lines, code_repair, embed_hash, chunk_manual, chunk_guide, import_store, import_run, request_resolution, vector_literals, store_catalog, jsonl_resume,
+    hash_column, preview_text, page_code_lines, code_repair, embed_hash, embed_run, chunk_manual, chunk_guide, import_store, import_run, request_resolution, vector_literals, store_catalog, jsonl_resume,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 
@@ -692,6 +700,7 @@ f AS (SELECT *, 'prog_ch' || CASE WHEN chapter < 10 THEN '0' ELSE '' END || chap
 k AS (SELECT *, row_number() OVER (PARTITION BY doc, id ORDER BY section, coalesce(part, 0)) AS n FROM f)
 SELECT doc, {_SUFFIX}, md5('Programming | Chapter ' || chapter || ': ' || chapter_title || ' | Section: ' || heading || chr(10) || chr(10) || text) AS text_md5, chapter AS chapter_number, heading AS section,
 (CASE WHEN part IS NULL THEN n_all ELSE len({_words('text')}) END)::INT AS word_count, part FROM k""",
+    "embed_run": f"WITH {_STORE} SELECT chunk_id AS id, md5(content) AS text_md5, 64::INT AS dim FROM chunk c WHERE NOT EXISTS (SELECT 1 FROM emb e WHERE e.chunk_id = c.chunk_id)",
     "import_store": f"""WITH {_RECORDS} SELECT corpus_id, id AS external_id, coalesce(nullif(meta ->> '$.command_name', ''), nullif(meta ->> '$.function_signature', ''), nullif(meta ->> '$.section', ''), id) AS title,
 len(json_keys(meta)) AS n_keys, md5(text) AS content_md5, len(v)::INT AS embedding_dim FROM one""",
     "import_run": f"""WITH {_RECORDS}, n AS (SELECT count(*) AS read, count(*) FILTER (source IN ('CommandRef', 'FunctionRef', 'Programming') AND text IS NOT NULL) AS imported, count(*) FILTER (coalesce(source, '') NOT IN ('CommandRef', 'FunctionRef', 'Programming') AND text IS NOT NULL) AS skipped,
