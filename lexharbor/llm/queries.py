@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexharbor.llm import fusion, languages, markup, mixture, neighbours, splitting, tokens
-from lexharbor.operators.dedup import last_wins
+from lexharbor.operators.dedup import last_wins, newest
 from lexharbor.session import spread, table
 
 
@@ -33,9 +33,9 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of all chunks longer than 4,000 characters."""
-    chunks = table(spark, sf_dir, "rag_chunk").select("chunk_id", "document_id", "content", "created_at")
-    long = last_wins(chunks.where(F.length("content") > splitting.LIMIT), ["chunk_id"], ["created_at"], ["content"])
-    return splitting.split_oversized(long)
+    long = F.when(F.length("content") > splitting.LIMIT, F.col("content"))  # no other text is shuffled
+    last = newest(table(spark, sf_dir, "rag_chunk"), ["chunk_id"], ["created_at"], document_id=F.col("document_id"), content=long)
+    return splitting.split_oversized(last)
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
