@@ -39,6 +39,16 @@ def corpus_kind(name: Column) -> Column:
     return F.regexp_extract(F.lower(name), r"([^-]*)$", 1)
 
 
+def asked(query: Column) -> Column:
+    """Whether there is a query: text other than white space; FALSE for NULL."""
+    return F.coalesce(F.regexp_replace(query, r"(?U)\s+", "") != "", F.lit(False))
+
+
+def flag(value: Column, default: bool = False) -> Column:
+    """1, true, yes and on are true, in any case and with outer blanks; NULL is the default."""
+    return F.coalesce(F.lower(F.regexp_replace(value, r"(?U)^\s+|\s+\z", "")).isin("1", "true", "yes", "on"), F.lit(default))
+
+
 def normalize_k(value: object, fallback: int) -> int:
     """1 to 30, rounded half up; None counts as 0 and so gives 1, what is no finite number the fallback."""
     if value is None or value == "":

@@ -81,6 +81,13 @@ def source_labels(hits: DataFrame, by: Iterable[str] = ()) -> DataFrame:
     return hits.groupBy(*by).agg(F.array_sort(F.collect_set(label)).alias("sources"))
 
 
+def hit_counts(hits: DataFrame, by: Iterable[str] = (), item: str = "chunk_id") -> DataFrame:
+    """`by`, chunk_count BIGINT, corpora BIGINT: how many chunks an answer has, repeated hits counted once, and of how many corpora."""
+    keys = list(by)
+    one = hits.groupBy(*keys, item, "corpus_name").agg(F.count(F.lit(1)).alias("_n"))  # repeated hits are reduced where they lie
+    return one.groupBy(*keys).agg(F.countDistinct(item).alias("chunk_count"), F.countDistinct("corpus_name").alias("corpora"))
+
+
 def search(store: Store, request: SearchRequest, embedder: Embedder, **options) -> dict:
     """The answer to a request: query, chunks, context_text, embed_ms, search_ms. A blank query raises ValueError.
 

@@ -293,6 +293,23 @@ def _hits(spark, d):
     return one.join(_store(spark, d).chunk.select("chunk_id", "content", "meta"), "chunk_id")
 
 
+def hit_counts(spark, d):
+    return search.hit_counts(table(spark, d, "search_hit"), ["query_id"])
+
+
+def asked_requests(spark, d):
+    """The requests that ask something."""
+    q = table(spark, d, "search_request")
+    return q.where(queries.asked(F.col("query"))).select("query_id", F.trim("query").alias("query"))
+
+
+def metadata_flags(spark, d):
+    """The flags of every chunk's metadata, written in any way."""
+    meta = lambda n: F.get_json_object("meta", f"$.{n}")
+    shown = F.when(F.crc32("chunk_id") % 2 == 0, F.upper(meta("execute_on_client"))).otherwise(F.concat(F.lit(" "), meta("execute_on_client")))
+    return _store(spark, d).chunks(client=queries.flag(shown), reversible=queries.flag(meta("reversible"), True)).select("chunk_id", "client", "reversible")
+
+
 def source_labels(spark, d):
     return search.source_labels(_hits(spark, d), ["query_id"]).select("query_id", F.array_join("sources", "|").alias("sources"))
 
@@ -438,7 +455,7 @@ _ALL = (
     dense_topk, dense_min_score, fts_match_and, fts_single_term_tf, fts_cover_density, web_query, web_query_rank, hybrid_rrf, hybrid_inline_small_pool, hybrid_dense_only, multi_corpus_topk,
     single_corpus_sum_k, multi_corpus_batch_queries, batch_dense, inverted_index, word_window_split, min_word_filter, chunk_stats_by_corpus, chunk_stats_total, id_occurrence_suffix,
     chapter_carry_forward, boundary_lookahead, heading_strip, clean_text, markdown_metadata, slugify, german_detect, german_rewrite, query_normalize, preset_k, pending_antijoin,
-    upsert_documents, insert_ignore, stale_cleanup, cascade_orphans, last_wins_dedup, store_violations, title_fallback, source_labels, context_text, metadata_filter, import_counters,
+    upsert_documents, insert_ignore, stale_cleanup, cascade_orphans, last_wins_dedup, store_violations, title_fallback, hit_counts, asked_requests, metadata_flags, source_labels, context_text, metadata_filter, import_counters,
     hash_column, preview_text, page_code_lines, code_repair, embed_hash, embed_run, chunk_manual, chunk_guide, import_store, import_run, request_resolution, vector_literals, store_catalog, jsonl_resume,
 )
 QUERIES = {f.__name__: f for f in _ALL}
@@ -650,6 +667,9 @@ UNION ALL SELECT 'embedding of no chunk', count(*) FROM emb e WHERE NOT EXISTS (
 UNION ALL SELECT 'content missing', count(*) FROM chunk WHERE content IS NULL
 UNION ALL SELECT 'vector of another size', count(*) FROM emb WHERE v IS NULL OR len(v) <> embedding_dim""",
     "title_fallback": "SELECT document_id, coalesce(nullif(meta ->> '$.command_name', ''), nullif(meta ->> '$.function_signature', ''), nullif(meta ->> '$.section', ''), external_id) AS label FROM rag_document",
+    "hit_counts": "SELECT query_id, count(DISTINCT chunk_id) AS chunk_count, count(DISTINCT corpus_name) AS corpora FROM search_hit GROUP BY query_id",
+    "asked_requests": f"SELECT query_id, trim(query) AS query FROM search_request WHERE regexp_replace(query, '[{_W}]+', '', 'g') <> ''",
+    "metadata_flags": f"WITH {_STORE} SELECT chunk_id, coalesce(meta ->> '$.execute_on_client' = 'true', false) AS client, coalesce(meta ->> '$.reversible' = 'true', true) AS reversible FROM chunk",
     "source_labels": f"WITH {_STORE}, {_HITS} SELECT query_id, string_agg(label, '|' ORDER BY label) AS sources FROM (SELECT DISTINCT query_id, {_LABEL} AS label FROM h) GROUP BY query_id",
     "context_text": f"""WITH {_STORE}, {_HITS}, b AS (SELECT *, CASE kind WHEN 'commands' THEN 0 WHEN 'functions' THEN 1 WHEN 'code' THEN 3 ELSE 2 END AS s,
 CASE kind WHEN 'commands' THEN '**' || coalesce(meta ->> '$.command_name', '') || '**' || chr(10) WHEN 'functions' THEN '**' || coalesce(meta ->> '$.function_signature', '') || '**' || chr(10) ELSE '' END || content || chr(10) AS body

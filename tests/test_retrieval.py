@@ -258,3 +258,11 @@ def test_messages():
     assert out[2]["result"]["isError"] and out[3]["error"]["code"] == -32601 and out[4]["error"]["code"] == -32602
     assert [t["name"] for t in answer({"id": 1, "method": "tools/list"}, call)["result"]["tools"]] == ["syntax", "concepts", "docs"]
     assert list(itertools.islice(serve([], call), 1)) == []
+
+
+def test_flags_and_blank_queries(spark):
+    from lexharbor.functions.queries import asked, flag
+
+    df = spark.createDataFrame([(x,) for x in ("1", " Yes", "ON ", "TRUE", "0", "", "\u00a0", None)], "t string")
+    assert [r[0] for r in df.select(flag(F.col("t"))).collect()] == [True] * 4 + [False] * 4 and df.select(flag(F.col("t"), True)).collect()[-1][0] is True
+    assert [r[0] for r in df.select(asked(F.col("t"))).collect()] == [True] * 5 + [False] * 3
