@@ -1,3 +1,6 @@
+from types import SimpleNamespace
+
+import pytest
 from pyspark.sql import functions as F
 
 from lexharbor import schema
@@ -35,3 +38,12 @@ def test_package_is_sent_once(spark):
 def test_types(spark):
     assert schema.CHUNK["content"].nullable is False and schema.CHUNK["char_start"].nullable and schema.EMBEDDING["v"].dataType.simpleString() == "array<float>"
     assert spark.createDataFrame([], schema.HIT).count() == 0
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    def session(master, **conf):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: conf.get("folder", default)), sparkContext=SimpleNamespace(master=master, applicationId="a"))
+
+    assert shared_dir(session("spark://x", folder="hdfs://shared")) == "hdfs://shared" and shared_dir(session("local[2]")).startswith("file://")
+    with pytest.raises(RuntimeError):
+        shared_dir(session("spark://x"))

@@ -136,3 +136,39 @@ def test_stream_embeds_each_id_once(spark, tmp_path):
     embed_stream(spark, source, out, point, HashingEmbedder(4)).awaitTermination(60)
     ok, _ = files.read_records(spark, out)
     assert sorted(r.id for r in ok.collect()) == ["a", "b", "c"]
+
+
+def test_insert_ignore_takes_the_first_of_new_rows(spark):
+    there = spark.createDataFrame([("a", 1, "old")], "k string, v int, w string")
+    new = spark.createDataFrame([("a", 0, "x"), ("b", 2, "x"), ("b", 1, "z"), ("b", 1, "y"), ("c", None, "n"), ("c", 3, "m"), (None, 5, "p"), (None, 5, "p")], "k string, v int, w string").repartition(4)
+    got = sorted(map(tuple, st.insert_ignore(there, new, ["k"]).collect()), key=str)
+    assert got == sorted([("a", 1, "old"), ("b", 1, "y"), ("c", None, "n"), (None, 5, "p"), (None, 5, "p")], key=str)
+
+
+def test_last_wins_is_the_same_in_any_order_and_reads_only_what_is_asked(spark, tmp_path):
+    rows = [("a", 1, "x", "q"), ("a", 2, "y", None), ("a", 2, "x", "r"), ("b", None, "z", "s"), (None, 1, "u", "t"), (None, 1, "u", "t")]
+    df = spark.createDataFrame(rows, "k string, t int, c string, d string")
+    want = sorted([("a", 2, "y", "r"), ("b", None, "z", "s"), (None, 1, "u", "t"), (None, 1, "u", "t")], key=str)
+    for parts in (1, 3, 6):
+        assert sorted(map(tuple, last_wins(df.repartition(parts), ["k"], ["t"]).collect()), key=str) == want
+    assert {tuple(r) for r in last_wins(df, ["k"], ["t"], ["c"]).where("k = 'a'").collect()} == {("a", 2, "y", None)}  # of the row of the greatest c
+    df.write.parquet(str(tmp_path / "t"))
+    plan = last_wins(spark.read.parquet(str(tmp_path / "t")), ["k"], ["t"]).select("k", "c")._jdf.queryExecution().executedPlan().toString()
+    assert "d:string" not in plan and "c:string" in plan
+    assert last_wins(df.limit(0), ["k"], ["t"]).count() == 0
+
+
+def test_catalog_and_rates(spark, tmp_path):
+    empty(spark).corpus.write.parquet(str(tmp_path / "rag_corpus.parquet"))
+    assert [(r.table_name, r.column_name) for r in st.catalog(spark, str(tmp_path)).collect()] == [("rag_corpus", c) for c in ("corpus_id", "name", "description", "created_at")]
+    assert st.has_table(spark, str(tmp_path), "corpus") and not st.has_table(spark, str(tmp_path), "chunk")
+    assert st.rates(50, 200, 10.0) == {"rate": 5.0, "eta": 30.0} and st.rates(0, 9, 0.0) == {"rate": 0.0, "eta": None}
+
+
+def test_import_counts_errors_and_removed(spark):
+    rows = [("a", "t", {"source": "CommandRef"}, [0.123456789], 1), (None, "t", {"source": "CommandRef"}, None, 2), ("b", None, {"source": "CommandRef"}, None, 3), ("c", "t", {"source": "Odd"}, None, 4)]
+    first, counters = st.import_records(empty(spark), records(spark, rows), "m", F.lit(T))
+    assert counters.first().asDict() == {"read": 4, "imported": 1, "skipped": 1, "errors": 2, "removed": 0}
+    assert abs(first.embedding.first()["v"][0] - 0.12345679) < 1e-8
+    _, again = st.import_records(first, records(spark, [("z", "t", {"source": "CommandRef"}, None, 1)]), "m", F.lit(LATER), delete_stale=True)
+    assert again.first()["removed"] == 1
