@@ -186,7 +186,6 @@ def features(lines: list[str], inside: list[str] | None = None) -> np.ndarray:
             blank = True
             continue
         words = s.count(" ") + 1 if "  " not in s and "\t" not in s else len(s.split())
-        some = s if len(s) < 400 else s[:300] + s[-100:]  # shares of letters and the like; marks are looked for in all of it
         link = lead = 0
         flags = _NO_FLAGS
         if _ANY_SIGN.search(s):
@@ -197,11 +196,11 @@ def features(lines: list[str], inside: list[str] | None = None) -> np.ndarray:
             elif "=" in s:
                 flags = [*_NO_FLAGS]
                 flags[3] = bool(_MATHS.match(s))
-        code = len(_CODE_SIGN.findall(some)) / min(words, 80) if _CODE_ANY.search(some) and link < 0.95 * len(s) else 0
-        maths = len(_MATH_SIGN.findall(some)) if link or not s.isascii() or "^" in s else 0
+        code = len(_CODE_SIGN.findall(s)) / words if _CODE_ANY.search(s) and link < 0.95 * len(s) else 0
+        maths = len(_MATH_SIGN.findall(s)) if link or not s.isascii() or "^" in s else 0
         rows.append([
-            words, link / len(s), 0, 0, 0, 0, lead / len(s), 0, 0, code, 0, 0, "cft".find(env) + 1 if env else 0, len(_SIGN.findall(some)) / len(some), sum(map(str.isalpha, some)) / len(some), s[-1] in ".!?:…" or s[-2:-1] in (".", "!", "?"), s.isupper(),
-            sum(map(str.isdigit, some)) / len(some), line.startswith(("    ", "\t")), line.count("\t"), bool(_NUMBERED.match(s)), bool(_DASH.match(s)), maths, blank, True, *flags,
+            words, link / len(s), 0, 0, 0, 0, lead / len(s), 0, 0, code, 0, 0, "cft".find(env) + 1 if env else 0, len(_SIGN.findall(s)) / len(s), sum(map(str.isalpha, s)) / len(s), s[-1] in ".!?:…" or s[-2:-1] in (".", "!", "?"), s.isupper(),
+            sum(map(str.isdigit, s)) / len(s), line.startswith(("    ", "\t")), line.count("\t"), bool(_NUMBERED.match(s)), bool(_DASH.match(s)), maths, blank, True, *flags,
         ])
         if len(rows) > 1:
             rows[-2][_BLANK_AFTER] = blank

@@ -71,6 +71,22 @@ def test_neighbours_are_in_the_features():
     assert features([]).shape == (0, len(FEATURES)) == features(["", " "]).shape
 
 
+@pytest.mark.parametrize("at", [0, 50, 95, 100])
+def test_long_line_counts_wherever_its_signs_stand(at):
+    words = ["word"] * 300
+    words[3 * at : 3 * at] = ["nRow", ":=", "f(aList[7])", "×", "12"] * 6
+    got = dict(zip(FEATURES, features([" ".join(words)])[0].tolist(), strict=True))
+    assert got["words"] == 330 and got["code"] == pytest.approx(18 / 330) and got["math"] == 6
+    n = len(" ".join(words))
+    assert [got[k] * n for k in ("signs", "letters", "digits")] == pytest.approx([24, 1260, 18], rel=1e-5)
+
+
+def test_comment_of_a_long_line_whose_code_stands_in_the_middle(trees):
+    code = "echo " + "the names that follow are read " * 10 + "nRow = f(aList[nRow], 1); if (a == b) { x = y; } " * 30 + "and so are the last ones " * 8
+    text = "# sums of all rows that are kept in the list\n" + code
+    assert clean(text, trees)[:2] == (False, text)
+
+
 def test_tree_against_all_splits():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(200, 4)).astype(np.float32)
