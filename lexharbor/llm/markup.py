@@ -31,19 +31,24 @@ _TAG = r"</?(?:" + "|".join(TAGS.split()) + r")\b"
 _ENTITY = re.compile(r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z]\w{1,30});")
 _NAMED = {k[:-1].lower() for k in html.entities.html5 if k.endswith(";")}
 # What a block's link density counts: tags, entities, targets, delimiters and commands of any dialect, by the signs they begin with.
-_HTML = re.compile(rf"<!--.{{0,2000}}?-->|<!--|-->|{_TAG}(?:\s[^<>]{{0,500}})?/?>|{_TAG}(?=\s[\s\w-]{{0,60}}=|\s*$)|<!DOCTYPE[^>]{{0,200}}>", re.I)
+# Pieces are found whole however long they are. In time linear in the line, as what is within a piece cannot hold the sign it opens with, or by
+# `_pairs` where it can.
+_HTML = re.compile(rf"{_TAG}(?:\s[^<>]*+)?/?>|{_TAG}(?=\s[\s\w-]{{0,60}}=|\s*$)|<!DOCTYPE(?:[^<>]*+>|[^>]{{0,200}}>)", re.I)
+_COMMENT = re.compile("<!--"), re.compile("-->")
+_COMMENT_SIGN = re.compile("<!--|-->")
+_UNDERLINED = re.compile(r"(?<!\w)__(?=[^\s_])"), re.compile(r"(?<=[^\s_])__(?!\w)")
 _PAIRS = re.compile(
-    r"\*{2,3}(?=[^\s*])[^*\n]{1,500}?(?<=[^\s*])\*{2,3}|~~(?=\S)[^~\n]{1,500}~~|(?<!\w)__(?=[^\s_])[^\n]{1,200}?(?<=[^\s_])__(?!\w)|`{1,2}[^`\n]{1,500}`{1,2}"
-    r"|(?<![\w*/])\*(?=[^\s*])[^*\n]{1,200}(?<=[^\s*])\*(?![\w*/])|(?<![\w_/])_(?=[^\s_])[^_\n]{1,200}(?<=[^\s_])_(?![\w/])"
+    r"\*{2,3}(?=[^\s*])[^*\n]++(?<=[^\s*])\*{2,3}|~~(?=\S)[^~\n]++~~|((?<!\w)__(?=[^\s_]))|`{1,2}[^`\n]++`{1,2}"
+    r"|(?<![\w*/])\*(?=[^\s*])[^*\n]++(?<=[^\s*])\*(?![\w*/])|(?<![\w_/])_(?=[^\s_])[^_\n]++(?<=[^\s_])_(?![\w/])"
 )
-_LINKS = re.compile(r"!?\[[^\[\]\n]{0,300}\]\([^()\s][^()\n]{0,300}\)?|\[\[[^\[\]\n]{0,500}\]\]|\[\[(?=[^\W\d]|:)|^\[[^\]\n]{1,60}\]:\s\s{0,9}\S.{0,300}")
-_BRACES = re.compile(r"\{\{\{|\}\}\}|\{\{[^{}\n]{0,500}\}\}|\{\{(?=[^\W\d])|^\{\|.*|^\|\}.*|\{\\[a-z]+\b")
-_QUOTES = re.compile(r"'{2,5}(?=[^'\s])[^'\n]{1,500}'{2,5}")
+_LINKS = re.compile(r"!?\[[^\[\]\n]*+\]\([^()\s][^()\n]*+\)?|\[\[[^\[\]\n]*+\]\]|\[\[(?=[^\W\d]|:)|^\[[^\]\n]{1,60}\]:\s\s{0,9}\S.*")
+_BRACES = re.compile(r"\{\{\{|\}\}\}|\{\{[^{}\n]*+\}\}|\{\{(?=[^\W\d])|^\{\|.*|^\|\}.*|\{\\[a-z]+\b")
+_QUOTES = re.compile(r"'{2,5}(?=[^'\s])[^'\n]++'{2,5}")
 _TEX = re.compile(
-    r"\\(?:begin|end)\s{0,9}\{[^{}\n]{0,60}\}?|\\verb\*?([|!+])[^\n]{0,200}?\1|\\[A-Za-z]+\*?(?:\s?\[[^\[\]\n]{0,200}\])?\s?[\[{]|(?<![\w:\\/.])\\[A-Za-z]{2,}(?![\w\\.])|\\\\(?=\s|$)"
+    r"\\(?:begin|end)\s{0,9}\{[^{}\n]{0,60}\}?|\\verb\*?([|!+])[^\n]*?\1|\\[A-Za-z]+\*?(?:\s?\[[^\[\]\n]*+\])?\s?[\[{]|(?<![\w:\\/.])\\[A-Za-z]{2,}(?![\w\\.])|\\\\(?=\s|$)"
     r"|(?<!\\)\\[()\[\]](?![\w.]*\\)|(?<![\w:\\])\\[$&#%_{}](?!\w)"
 )
-_DOLLARS = re.compile(r"\$\$|(?<![\w.\\$])\$(?=[^\s$])(?=[^$\n]{0,200}[\\^_{])[^$\n]{0,200}[^\s$\\]\$(?!\w)")
+_DOLLARS = re.compile(r"\$\$|(?<![\w.\\$])\$(?=[^\s$])(?=[^$\n\\^_{]*+[\\^_{])[^$\n]++(?<=[^\s$\\])\$(?!\w)")
 _LEAD = re.compile(r"#{1,6}(?=\s)|[#*]{1,6}(?=\s)|\+(?=\s)|={1,6}(?=[^=])")
 _LINE = re.compile(r"(?:={3,}|-{3,}|```+[\w+-]*|~~~+[\w+-]*)$|(?=[^|]*\|)\|?\s?:?-{2,}[-:|\s]*$|\|-[^|]*$")
 _SURE = ("`", "~", "|", ":")  # what a line of nothing but marks begins with, if it is no rule
@@ -59,7 +64,7 @@ _HEAD = re.compile(r"<h[1-6]\b|^\\(?:part|chapter|(?:sub)*section|(?:sub)?paragr
 _ENTRY = re.compile(r"<li\b|^\\item\b|^(?:\*[#*]{0,5}|\+|#+\*[#*]{0,5})\s", re.I)
 _CELL = re.compile(r"<t[dhr]\b|</table", re.I)
 _MATHS = re.compile(r"(?:\$|\\\[|\\\(|<math|\\begin\{(?:equation|align|math)|(?:<i>)?\w+(?:</i>)?\s?=\s?\(?(?:<i>)?\w+|`\w+ = )", re.I)
-_CODE_TAG = re.compile(r"</?(?:pre|code|syntaxhighlight|nowiki|source)\b[^<>]{0,300}>", re.I)
+_CODE_TAG = re.compile(r"</?(?:pre|code|syntaxhighlight|nowiki|source)\b[^<>]*+>", re.I)
 _FENCE = re.compile(r"(?:```|~~~)")
 _OPENERS = (  # (opens, closes, what is within), of lines without outer blanks
     (re.compile(r"(```+|~~~+)[\w+-]*$"), lambda m: re.compile(re.escape(m[1][:3])), "c"),
@@ -87,6 +92,29 @@ def _named(m: re.Match) -> bool:
     return m[0][1] == "#" or m[0][1:-1].lower() in _NAMED
 
 
+def _pairs(s: str, signs: tuple[re.Pattern, re.Pattern]) -> list[tuple[int, int, int, int]]:
+    """Pieces from an opening sign to the first closing one after it: (start, its end, end's start, end). What nothing closes is looked for once."""
+    opens, closes = signs
+    out, at = [], 0
+    while (m := opens.search(s, at)) and (end := closes.search(s, m.end())):
+        out.append((*m.span(), *end.span()))
+        at = end.end()
+    return out
+
+
+def _delimited(s: str) -> list[tuple[int, int]]:
+    """The matches of `_PAIRS`, in which an opening "__" reaches to the first that closes it."""
+    out, at, end = [], 0, True
+    while m := _PAIRS.search(s, at):
+        at = m.end()
+        if not m[1]:
+            out.append(m.span())
+        elif end and (end := _UNDERLINED[1].search(s, at)):
+            at = end.end()
+            out.append((m.start(), at))
+    return out
+
+
 def marks(s: str) -> list[tuple[int, int]]:
     """Where a line without outer blanks holds tags, entities, targets, commands or pairs of delimiters of some dialect: (start, end), overlaps
     and all. The link density is the part of the line that lies in them."""
@@ -94,12 +122,12 @@ def marks(s: str) -> list[tuple[int, int]]:
     for signs, pattern in (("<", _HTML), ("[", _LINKS), ("'", _QUOTES), ("\\", _TEX), ("$", _DOLLARS)):
         if signs in s:
             out += [m.span() for m in pattern.finditer(s)]
-    if "-->" in s and "<" not in s:
-        out += [m.span() for m in _HTML.finditer(s)]
+    if "<!--" in s or "-->" in s:
+        out += [m.span() for m in _COMMENT_SIGN.finditer(s)] + [(a, b) for a, _, _, b in _pairs(s, _COMMENT)]
     if "&" in s:
         out += [m.span() for m in _ENTITY.finditer(s) if _named(m)]
     if "*" in s or "_" in s or "`" in s or "~" in s:
-        out += [m.span() for m in _PAIRS.finditer(s)]
+        out += _delimited(s) if "__" in s else [m.span() for m in _PAIRS.finditer(s)]
     if "{" in s or "}" in s:
         out += [m.span() for m in _BRACES.finditer(s)]
     if (s[0] in _SURE or "|" in s) and _LINE.match(s):
@@ -336,8 +364,13 @@ def train(documents: list[tuple[list[str], list[int], list[int]]] | None = None,
 
 # ---- clean text
 
-_FORMULA = re.compile(r"\$\$(.{1,500}?)\$\$|(?<![\w.\\$])\$(?=[^\s$])(?=[^$]{0,200}[\\^_{])([^$]{1,200})\$(?!\w)|\\\[(.{1,500}?)\\\]|\\\((.{1,500}?)\\\)|<math[^>]{0,99}>(.{1,900}?)</math>|\\begin\{(?:equation|align|displaymath|math)\*?\}(.{1,900}?)\\end\{\w+\*?\}", re.I)
-_ARG = re.compile(r"\\([A-Za-z]+)\*?\s*((?:\[[^\[\]]{0,200}\])*)\{([^{}]{0,2000})\}(?:\{([^{}]{0,2000})\})?")
+_DOLLAR_FORMULA = r"(?<![\w.\\$])\$(?=[^\s$])(?=[^$\\^_{]*+[\\^_{])([^$]++)\$(?!\w)"
+_FORMULA_OPENS = re.compile(rf"(\$\$)|{_DOLLAR_FORMULA}|(\\\[)|(\\\()|(<math[^<>]*+>)|(\\begin\{{(?:equation|align|displaymath|math)\*?\}})", re.I)
+_FORMULA_CLOSES = [re.compile(x, re.I) for x in (r"\$\$", "", r"\\\]", r"\\\)", "</math>", r"\\end\{\w+\*?\}")]  # by the group that opens; the second is whole
+_REF = re.compile(r"<ref\b[^<>]*+(?<!/)>", re.I), re.compile("</ref>", re.I)
+_IMG = re.compile(r"<img\b[^<>]*+>", re.I)
+_ALT = re.compile(r"\balt\s?=\s?[\"']([^\"'<>]*+)[\"']", re.I)
+_ARG = re.compile(r"\\([A-Za-z]+)\*?\s*((?:\[[^\[\]]*+\])*)\{([^{}]*+)\}(?:\{([^{}]*+)\})?")
 _GONE = {"label", "ref", "cite", "pageref", "eqref", "index", "begin", "end", "vspace", "hspace", "includegraphics", "usepackage", "documentclass"}
 _BARE = re.compile(r"(?<![\w:\\/.])\\([A-Za-z]{2,})\*?(?![\w\\.]) ?")
 
@@ -356,6 +389,33 @@ def formula(text: str) -> str:
     return re.sub(r"\s+", " ", text.replace("{", "").replace("}", "").replace("\\", "")).strip()
 
 
+def _formulas(line: str) -> str:
+    """The line with its formulas in plain signs. What nothing closes stays, and is looked for once a kind."""
+    out, at, look, open_for_good = [], 0, 0, set()
+    while m := _FORMULA_OPENS.search(line, look):
+        kind, end = m.lastindex, m.end()
+        inner = m[2]
+        if inner is None:
+            close = None if kind in open_for_good else _FORMULA_CLOSES[kind - 1].search(line, end + 1)
+            if close is None:
+                open_for_good.add(kind)
+                look = m.start() + 1
+                continue
+            inner, end = line[end : close.start()], close.end()
+        out += [line[at : m.start()], formula(inner)]
+        at = look = end
+    return "".join(out) + line[at:]
+
+
+def _without(line: str, signs: tuple[re.Pattern, re.Pattern], kept: bool = False) -> list[str]:
+    """The line cut where such pieces are; kept: what they hold stays."""
+    out, at = [], 0
+    for a, b, c, d in _pairs(line, signs):
+        out += [line[at:a], line[b:c]] if kept else [line[at:a]]
+        at = d
+    return [*out, line[at:]]
+
+
 def _command(m: re.Match) -> str:
     name, first, second = m[1], m[3], m[4]
     if name in _GONE:
@@ -374,37 +434,37 @@ def _template(m: re.Match) -> str:
 def inline(line: str) -> str:
     """The line without its pieces of markup; what they mark stays."""
     if "--" in line:
-        line = re.sub(r"<!--.{0,2000}?-->|<!--|-->", "", line)
+        line = "".join(_COMMENT_SIGN.sub("", x) for x in _without(line, _COMMENT))
     if "$" in line or "\\" in line or "<" in line:
-        line = _FORMULA.sub(lambda m: formula(next(g for g in m.groups() if g is not None)), line)
+        line = _formulas(line)
     if "\\verb" in line:
         line = re.sub(r"\\verb\*?([|!+])(.*?)\1", r"\2", line)
     # HTML
     if "<" in line:
-        line = re.sub(r"<ref\b[^<>]*/>|<ref\b[^<>]*>.{0,2000}?</ref>", "", line, flags=re.I)
-        line = re.sub(r"<img\b[^<>]{0,300}?\balt\s?=\s?[\"']([^\"'<>]{0,300})[\"'][^<>]{0,300}>", r"\1", line, flags=re.I)
+        line = "".join(_without(re.sub(r"<ref\b[^<>]*/>", "", line, flags=re.I), _REF))
+        line = _IMG.sub(lambda m: alt[1] if (alt := _ALT.search(m[0])) else m[0], line)
         line = re.sub(r"</t[dh]>\s*<t[dh]\b[^<>]*>", "\t", line, flags=re.I)
         line = re.sub(r"</tr>\s*<tr\b[^<>]*>|<br\s*/?>(?=.*\S)", "\n", line, flags=re.I)
         line = re.sub(r"<sup\b[^<>]*>([^<>]*)</sup>", r"^\1", line, flags=re.I)
         line = re.sub(r"<sub\b[^<>]*>([^<>]*)</sub>", r"_\1", line, flags=re.I)
-        line = re.sub(rf"{_TAG}(?:\s[^<>]{{0,500}})?/?>|{_TAG}(?:\s[\s\w-]{{0,60}}=[^<>]*$|\s*$)|<!DOCTYPE[^>]{{0,200}}>", "", line, flags=re.I)
+        line = re.sub(rf"{_TAG}(?:\s[^<>]*+)?/?>|{_TAG}(?:\s[\s\w-]{{0,60}}=[^<>]*$|\s*$)|<!DOCTYPE(?:[^<>]*+>|[^>]{{0,200}}>)", "", line, flags=re.I)
     # Wiki
     if "[[" in line or "{{" in line or "}}}" in line or "''" in line or "__" in line:
         line = re.sub(r"\[\[(?:File|Image|Datei|Bild):[^\[\]|]*\|?(?:[^\[\]|]*\|)*([^\[\]|]*)\]\]", r"\1", line)
         line = re.sub(r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]*)\]\]", r"\1", line)
         line = re.sub(r"\{\{([^{}]*)\}\}", _template, line)
-        line = re.sub(r"'{2,5}(?=[^'\s])([^']{1,500})'{2,5}", r"\1", line)
+        line = re.sub(r"'{2,5}(?=[^'\s])([^']++)'{2,5}", r"\1", line)
         line = re.sub(r"__[A-Z]{3,}__", "", line)
         line = re.sub(r"\[\[(?=[^\W\d]|:)|\{\{+(?=[^\W\d]|\s*$)|\}\}\}", "", line)
     # Markdown
     if "*" in line or "_" in line or "~~" in line or "`" in line or "](" in line:
         line = re.sub(r"!?\[([^\[\]]*)\]\((?:[^()\s][^()]*)?\)?", r"\1", line)
         for _ in range(3):
-            line = re.sub(r"(\*{2,3})(?=[^\s*])([^*]{1,500}?)(?<=[^\s*])\*{2,3}", r"\2", line)
-            line = re.sub(r"(?<!\w)__(?=[^\s_])([^\n]{1,200}?)(?<=[^\s_])__(?!\w)", r"\1", line)
-            line = re.sub(r"~~(?=\S)([^~]{1,500})~~", r"\1", line)
-        line = re.sub(r"(?<![\w*/])\*(?=[^\s*])([^*]{1,200})(?<=[^\s*])\*(?![\w*/])|(?<![\w_/])_(?=[^\s_])([^_]{1,200})(?<=[^\s_])_(?![\w/])", lambda m: m[1] or m[2], line)
-        line = re.sub(r"`{1,2}([^`]{1,500})`{1,2}", r"\1", line)
+            line = re.sub(r"(\*{2,3})(?=[^\s*])([^*]++)(?<=[^\s*])\*{2,3}", r"\2", line)
+            line = "".join(_without(line, _UNDERLINED, kept=True)) if "__" in line else line
+            line = re.sub(r"~~(?=\S)([^~]++)~~", r"\1", line)
+        line = re.sub(r"(?<![\w*/])\*(?=[^\s*])([^*]++)(?<=[^\s*])\*(?![\w*/])|(?<![\w_/])_(?=[^\s_])([^_]++)(?<=[^\s_])_(?![\w/])", lambda m: m[1] or m[2], line)
+        line = re.sub(r"`{1,2}([^`]++)`{1,2}", r"\1", line)
     # LaTeX
     if "\\" in line or "{" in line or "$$" in line:
         line = re.sub(r"~(?=\\(?:ref|cite|eqref|pageref|autoref)\b)", "", line)
@@ -496,7 +556,7 @@ def _written(lines: list[str], env: list[str], mark: list[int], kind: list[int])
         k, m = KINDS[kind[i]], bool(mark[i])
         i += 1
         if where == "c":
-            k, value = "c", html.unescape(re.sub(rf"{_TAG}[^<>]{{0,500}}>", "", line, flags=re.I)) if m else line
+            k, value = "c", html.unescape(re.sub(rf"{_TAG}[^<>]*+>", "", line, flags=re.I)) if m else line
         elif where == "t":
             k, value = "t", _table_row(line.strip())
         elif not m:

@@ -87,6 +87,31 @@ def test_comment_of_a_long_line_whose_code_stands_in_the_middle(trees):
     assert clean(text, trees)[:2] == (False, text)
 
 
+WORDS = "one two three " * 400 + "four"
+
+
+@pytest.mark.parametrize(
+    ("piece", "want"),
+    [
+        (f"**{WORDS}**", WORDS), (f"*{WORDS}*", WORDS), (f"_{WORDS}_", WORDS), (f"__{WORDS}__", WORDS), (f"~~{WORDS}~~", WORDS), (f"`{WORDS}`", WORDS), (f"'''{WORDS}'''", WORDS),
+        (f"<img src='data:{WORDS}' alt='plan'>", "plan"), (f"<a title='{WORDS}'>page</a>", "page"), (f"<!-- {WORDS} -->page", "page"), (f"<!DOCTYPE {WORDS}>page", "page"),
+        (f"[page](http://x/{'a' * 2000})", "page"), (f"[[Help:{WORDS}|page]]", "page"), (f"{{{{term|{WORDS}}}}}", WORDS), (f"\\verb|{WORDS}|", WORDS), (f"${WORDS} n^2$", f"{WORDS} n^2"),
+    ],
+)
+def test_long_piece_counts_whole_and_is_cleaned(trees, piece, want):
+    text = f"See {piece} here."
+    link = features([text])[0, FEATURES.index("link")]
+    assert link > 0.95 and clean(text, trees)[:2] == (True, f"See {want} here.")
+
+
+@pytest.mark.parametrize(
+    ("piece", "want"),
+    [(f"It is.<ref name='x'>{WORDS}</ref>", "It is."), (f"It is \\emph{{{WORDS}}}.", f"It is {WORDS}."), (f"<math>{WORDS} \\times n^2</math>", f"{WORDS} × n^2"), (f"\\[{WORDS} \\times n^2\\]", f"{WORDS} × n^2")],
+)
+def test_what_long_pieces_hold_is_cleaned(trees, piece, want):
+    assert clean(piece, trees)[1].strip() == want
+
+
 def test_tree_against_all_splits():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(200, 4)).astype(np.float32)
@@ -177,6 +202,22 @@ def test_time_is_linear(trees, unit):
     assert seconds(160_000) < 10 * short + 0.3  # four times as long; of quadratic time it would be sixteen
 
 
+@pytest.mark.parametrize(
+    ("first", "unit"),
+    [("", x) for x in (" __a", "__a__ ", "\\(", "<math>", "\\begin{math}", "<!-- x --> <!--", "-->", "<ref a>", "<!DOCTYPE <", "<p a=b", "$a^ ", "\\x[a")]
+    + [("<img ", "alt='x' "), ("<img ", "alt='"), ("<!--", "-- "), ("$", "a^ "), ("__", "a_ "), ("\\x", "[a]"), ("[x](", "a ")],
+)
+def test_time_of_long_pieces_is_linear(trees, first, unit):
+    seconds = lambda n: min(_seconds(first + unit * (n // len(unit)) + "x*", trees) for _ in range(2))
+    assert seconds(160_000) < 10 * seconds(40_000) + 0.3
+
+
+def _seconds(text, trees):
+    start = time.perf_counter()
+    clean(text, trees)
+    return time.perf_counter() - start
+
+
 def test_rows(spark):
     rows = [("a", "<b>x</b> y", "t"), ("a", "<b>x</b> y", "t"), ("b", PLAIN, "t"), ("c", None, "t"), ("d", "", "t"), (None, "## x", "t"), ("e", " \n", "t"), ("f", "plain words.\r\n<p>two", "t")]
     random.Random(1).shuffle(rows)
