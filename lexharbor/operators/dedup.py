@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexharbor.session import bounded
+
 
 def null_key(keys: Sequence[str]) -> Column:
     """NULL, but for rows with a NULL in their key a number of their own, so that none of them is taken for a repetition."""
@@ -37,3 +39,14 @@ def newest(df: DataFrame, keys: Sequence[str], latest: Sequence[str], **columns:
     rows = df.select(*keys, *[F.col(c).alias(f"_{c}") for c in latest], null_key(keys).alias("_alone"), *[c.alias(n) for n, c in columns.items()])
     best = rows.groupBy(*keys, "_alone").agg(F.max(F.struct(*[f"_{c}" for c in latest], *columns)).alias("_best"))
     return best.select(*keys, *[F.col("_best")[n].alias(n) for n in columns])
+
+
+def only_last(df: DataFrame, key: str, order: Sequence[str], most: int = 100_000) -> DataFrame:
+    """Of several rows of a key the one greatest in `order`, then in the further columns; NULL is least, and a NULL key is no repetition.
+
+    What is shuffled are the keys, and the rows of those keys that are repeated; others stay where they lie, unless more than `most` keys are
+    repeated."""
+    others = [*order, *[c for c in df.columns if c != key and c not in order]]
+    again = bounded(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where((F.col("_n") > 1) & F.col(key).isNotNull()).select(key), None, most)
+    best = df.join(again, key, "left_semi").groupBy(key).agg(F.max(F.struct(*others)).alias("_best")).select(key, *[F.col("_best")[c].alias(c) for c in others])
+    return df.join(again, key, "left_anti").select(key, *others).unionByName(best).select(*df.columns)

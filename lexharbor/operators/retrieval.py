@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexharbor.functions.queries import TextQuery, parse_all, parse_web
-from lexharbor.functions.text import tokens
+from lexharbor.functions.text import tokens, words_only
 from lexharbor.functions.vectors import cosine, distance
+from lexharbor.operators.dedup import only_last
+from lexharbor.operators.postings import Postings, rounded
 from lexharbor.operators.store import Store
 from lexharbor.session import bounded, cut
 
@@ -219,67 +221,95 @@ def _searched(queries: DataFrame, query_id: str, most: int, prepare: Callable[[l
     return part if out is None else out.unionByName(cut(part))
 
 
-def batch_text_search(store: Store, queries: DataFrame, k_by_kind: Mapping[str, int], query_id: str = "query_id", text: str = "query", corpus: str = "corpus", most: int = 100_000) -> DataFrame:
+def _blocks(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The batches put together until a column has `most` bytes."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(column).nbytes
+        if size >= most:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+def batch_text_search(store: Store, queries: DataFrame, k_by_kind: Mapping[str, int], query_id: str = "query_id", text: str = "query", corpus: str = "corpus", most: int = 100_000, block: int = 32_000_000) -> DataFrame:
     """query_id, corpus_name, chunk_id, score, rank: for each of many text queries the densest chunks of each corpus it asks.
 
     queries: query_id, text, corpus ("all", or a name), and k_<kind> columns that hold how many are wanted of a corpus of this kind (NULL: as
     `k_by_kind` says); a corpus of another kind gives the sum of all. Words are joined by and; a query without words finds nothing.
 
-    The texts stay where they are: each task has the queries, listed by their rarest word, and holds a text against those whose rarest word is
-    in it. What is shuffled are counts of the queries' words, ids and the hits; hits in rows that a later row of their chunk replaces are left
-    out. More than `most` queries are searched in parts, a pass for each, with one part at a time on the driver.
+    The texts stay where they are: each task has the queries and makes postings of its texts, about `block` bytes at a time, over which queries of
+    the same words are answered once. What is shuffled are the ids, to find repeated rows (see `only_last`), and of each block the hits that
+    may be among those wanted. More than `most` queries are searched in parts, a pass for each, with one part at a time on the driver.
     """
-    corpora = store.corpus.select("corpus_id", F.col("name").alias("corpus_name"), F.regexp_extract(F.lower("name"), r"([^-]*)$", 1).alias("kind"))
+    kind = F.regexp_extract(F.lower("name"), r"([^-]*)$", 1)
+    corpora = store.corpus.select("corpus_id", F.col("name").alias("corpus_name"), kind.alias("kind"))
+    of = bounded(store.document.select("document_id", "corpus_id").join(F.broadcast(corpora), "corpus_id").select("document_id", "corpus_name", "kind"), store.document, 300_000)
     repeated = store.stored is not None
-    rows = store.stored[0] if repeated else store.chunk
-    made = F.col("created_at") if repeated else F.lit(None).cast("timestamp")
-    chunk = rows.select("chunk_id", "document_id", made.alias("_made"), tokens(F.col("content")).alias("tokens"))
-    terms = queries.select(query_id, F.array_distinct(tokens(F.col(text))).alias("terms")).where(F.size("terms") > 0)
-    each = bounded(terms.select(F.explode("terms").alias("term")).distinct(), None, 20 * most)
-    counts = chunk.select(F.explode(F.array_distinct("tokens")).alias("term")).join(each, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    first = terms.select(query_id, "terms", F.explode("terms").alias("term")).join(counts, "term").groupBy(query_id, "terms").agg(F.min(F.struct("df", "term")).alias("r"), F.count(F.lit(1)).alias("n"))
-    asked = first.where(F.col("n") == F.size("terms")).select(query_id, "terms", F.col("r.term").alias("rarest"))  # all words occur somewhere
-    kind = queries.schema[query_id].dataType.simpleString()
-    stamp = chunk.schema["_made"].dataType.simpleString()
-    lines = chunk.select("chunk_id", "document_id", "_made", F.array_join("tokens", " ").alias("line"))
-
-    def prepare(part: list) -> dict[str, list]:
-        by_rarest: dict[str, list] = {}
+    rows = only_last(store.stored[0].select("chunk_id", "created_at", "content", "document_id"), "chunk_id", ["created_at", "content"]) if repeated else store.chunk
+    lines = rows.select("chunk_id", "document_id", words_only(F.col("content")).alias("line")).join(of, "document_id").select("chunk_id", "corpus_name", "kind", "line")
+    kinds = list(k_by_kind)
+    k_of = [F.coalesce(F.col(f"k_{k}"), F.lit(k_by_kind[k])).alias(f"_k_{k}") for k in kinds]
+    asked = queries.select(query_id, F.array_sort(F.array_distinct(tokens(F.col(text)))).alias("terms"), F.col(corpus).alias("_corpus"), *k_of).where((F.size("terms") > 0) & F.col(query_id).isNotNull())
+    id_type = queries.schema[query_id].dataType.simpleString()
+
+    def prepare(part: list) -> tuple:
+        """The vocabulary; ids of the queries, by the words they ask for; what each of them asks of which corpora."""
+        number: dict[str, int] = {}
+        alike: dict[tuple[int, ...], list] = {}
         for r in part:
-            by_rarest.setdefault(r["rarest"], []).append((r[query_id], list(r["terms"])))
-        return by_rarest
+            alike.setdefault(tuple(number.setdefault(t, len(number)) for t in r["terms"]), []).append((r[query_id], r["_corpus"], [r[f"_k_{k}"] for k in kinds]))
+        return list(number), list(alike), [[i for i, _, _ in a] for a in alike.values()], [[(c, k) for _, c, k in a] for a in alike.values()]
 
     def run(sent) -> DataFrame:
+        def limit(asks: tuple, name: str, of_kind: str) -> int:
+            c, k = asks
+            return (k[kinds.index(of_kind)] if of_kind in kinds else 0) if c == "all" else sum(k) if c == name else 0
+
         def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            listed = sent.value
-            for batch in batches:
-                q, at, score = [], [], []
-                for i, line in enumerate(batch.column(3).to_pylist()):
-                    found = line.split(" ") if line else []
-                    there = set(found)
-                    for rare in there & listed.keys():
-                        for query, wanted in listed[rare]:
-                            if there.issuperset(wanted):
-                                q.append(query), at.append(i), score.append(round(density(found, [[(w,)] for w in wanted]), DECIMALS))
-                take = pa.array(at, pa.int64())
-                of_chunk = {n: batch.column(i).take(take) for i, n in enumerate(("chunk_id", "document_id", "_made"))}
-                yield pa.RecordBatch.from_pydict({query_id: pa.array(q, _ARROW[kind]), **of_chunk, "score": pa.array(score, pa.float64())})
-
-        return lines.mapInArrow(meet, f"`{query_id}` {kind}, chunk_id string, document_id string, _made {stamp}, score double")
+            words, sets, ids, asks = sent.value
+            vocabulary = pa.array(words, pa.string())
+            flat, begin = np.array([w for s in sets for w in s], np.int64), np.cumsum([0, *[len(s) for s in sets]])[:-1]
+            limits: dict[tuple, np.ndarray] = {}  # of each corpus: how many each query of a set wants
+            for rows in _blocks(batches, 3, block):
+                places = Postings(rows.column(3), vocabulary)
+                pairs = list(zip(rows.column(1).to_pylist(), rows.column(2).to_pylist(), strict=True))
+                code = {p: i for i, p in enumerate(dict.fromkeys(pairs))}
+                of_text = np.array([code[p] for p in pairs], np.int64)
+                names = np.array([i or "" for i in rows.column(0).to_pylist()], object)
+                order = np.empty(len(names), np.int64)
+                order[np.argsort(names, kind="stable")] = np.arange(len(names))
+                q, at, score, wanted = [], [], [], []
+                for s in np.flatnonzero(np.minimum.reduceat(places.count[flat], begin) > 0).tolist() if sets else []:
+                    for p in code:
+                        if (s, p) not in limits:
+                            limits[s, p] = np.array([limit(a, *p) for a in asks[s]], np.int64)
+                    own = np.array([limits[s, p] for p in code])  # corpora x queries
+                    largest = own.max(axis=1)
+                    found, entries = places.holding(sets[s], of_text, largest > 0)
+                    if not len(found):
+                        continue
+                    dense = rounded(places.densities(sets[s], entries), DECIMALS)
+                    by = np.lexsort((order[found], -dense, of_text[found]))
+                    found, dense = found[by], dense[by]
+                    where = of_text[found]
+                    place = np.arange(len(found)) - np.searchsorted(where, where)
+                    for n, i in enumerate(ids[s]):
+                        some = np.flatnonzero(place < own[where, n])
+                        q += [i] * len(some)
+                        at.append(found[some]), score.append(dense[some]), wanted.append(own[where[some], n])
+                if q:
+                    take = pa.array(np.concatenate(at))
+                    chunk = {n: rows.column(i).take(take) for n, i in (("corpus_name", 1), ("chunk_id", 0))}
+                    yield pa.RecordBatch.from_pydict({query_id: pa.array(q, _ARROW[id_type]), **chunk, "score": pa.array(np.concatenate(score)), "_limit": pa.array(np.concatenate(wanted))})
+
+        return lines.mapInArrow(meet, f"`{query_id}` {id_type}, corpus_name string, chunk_id string, score double, _limit bigint")
 
     scored = _searched(asked, query_id, most, prepare, run)
-    if repeated:
-        last = rows.groupBy(F.col("chunk_id").alias("_id")).agg(F.max("created_at").alias("_last"))
-        scored = scored.join(last, F.col("chunk_id").eqNullSafe(F.col("_id")) & F.col("_made").eqNullSafe(F.col("_last"))).groupBy(query_id, "chunk_id", "document_id").agg(F.max("score").alias("score"))
-    kinds = list(k_by_kind)
-    k_of = lambda kind: F.coalesce(F.col(f"k_{kind}"), F.lit(k_by_kind[kind]))
-    total = sum((k_of(k) for k in kinds), F.lit(0))
-    wanted = queries.select(query_id, F.col(corpus).alias("_corpus"), *[k_of(k).alias(f"_k_{k}") for k in kinds], total.alias("_k_all"))
-    of = scored.join(store.document.select("document_id", "corpus_id"), "document_id").join(corpora, "corpus_id").join(wanted, query_id)
-    per_kind = F.coalesce(*[F.when(F.col("kind") == k, F.col(f"_k_{k}")) for k in kinds], F.lit(0))
-    limit = F.when(F.col("_corpus") == "all", per_kind).when(F.col("_corpus") == F.col("corpus_name"), F.col("_k_all")).otherwise(0)
     w = Window.partitionBy(query_id, "corpus_name").orderBy(F.desc("score"), "chunk_id")
-    ranked = of.withColumn("_limit", limit).where("_limit > 0").withColumn("rank", F.row_number().over(w))
+    ranked = scored.withColumn("rank", F.row_number().over(w))
     return ranked.where(F.col("rank") <= F.col("_limit")).select(query_id, "corpus_name", "chunk_id", "score", "rank")
 
 

@@ -2,12 +2,13 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from lexharbor.functions.queries import TextQuery, looks_german, normalize_k, normalized_query, parse_all, parse_web, resolve, rewrite_german
-from lexharbor.operators import retrieval
+from lexharbor.operators import postings, retrieval
 from lexharbor.operators.embed import HashingEmbedder
 from lexharbor.operators.search import SearchRequest, answer, search, serve, tool_search, wanted
 from lexharbor.operators.store import Store
@@ -198,6 +199,49 @@ def test_later_rows_replace_earlier_ones_in_batches(spark, made):
     assert {tuple(r) for r in retrieval.batch_text_search(dirty, asks, k).collect()} == {tuple(r) for r in retrieval.batch_text_search(store, asks, k).collect()}
 
 
+def test_of_rows_equally_new_the_greatest_text_is_searched_in_batches(spark, made):
+    store, _ = made
+    at = F.lit("2025-02-01").cast("timestamp")
+    one = store.chunk.withColumn("created_at", at)
+    both = one.unionByName(one.withColumn("content", F.lit("a red box"))).unionByName(one.withColumn("content", F.lit("zebra")))
+    asks = spark.createDataFrame([(1, "red box", "all", 9, 9, 9), (2, "zebra", "all", 2, 2, 2)], "query_id long, query string, corpus string, k_commands int, k_functions int, k_programming int")
+    dirty = Store(store.corpus, store.document, store.chunk, store.embedding, (both, store.embedding))
+    rows = retrieval.batch_text_search(dirty, asks, {"commands": 4, "functions": 4, "programming": 4}).collect()
+    assert {r.query_id for r in rows} == {2} and len(rows) == 6
+
+
+def test_batches_shuffle_no_more_hits_than_may_be_wanted(spark, monkeypatch):
+    store, _ = make(spark, ["red box " + "pump " * (i % 7) for i in range(400)])
+    store = Store(store.corpus, store.document, store.chunk.coalesce(1), store.embedding)
+    asks = spark.createDataFrame([(i, "box red" if i % 2 else "Red, box", "all" if i < 6 else "a-code", 2, 1, None) for i in range(8)], "query_id long, query string, corpus string, k_commands int, k_functions int, k_programming int")
+    k = {"commands": 4, "functions": 4, "programming": 3}
+    searched, found = retrieval._searched, []
+    monkeypatch.setattr(retrieval, "_searched", lambda *a: found.append(searched(*a)) or found[-1])
+    whole = {tuple(r) for r in retrieval.batch_text_search(store, asks, k).collect()}
+    assert len(whole) == found[0].count() == 8 * 6  # of 400 texts that hold the words
+    assert {tuple(r) for r in retrieval.batch_text_search(store, asks, k, block=1).collect()} == whole
+    names = [r.chunk_id for r in retrieval.batch_text_search(store, asks, k).where("query_id = 0 AND corpus_name = 'a-programming'").orderBy("rank").collect()]
+    assert names == ["c002", "c006", "c010"]  # equally dense: the least ids
+
+
+@given(st.lists(st.text("abcd ", max_size=30), max_size=8), st.sets(st.sampled_from("abcde"), min_size=1), st.sampled_from([1, 1 << 20]))
+def test_postings_give_the_densities_of_texts(texts, words, held):
+    lines = [" ".join(" ".join(t.replace(" ", "")).split()) for t in texts] + [None]
+    places = postings.Postings(pa.array(lines, pa.string()), pa.array(list("abcde")))
+    asked = ["abcde".index(w) for w in words]
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(postings, "HELD", held)
+        found, entries = places.holding(asked, np.arange(len(lines)) % 2, np.array([True, False]))
+        assert found.tolist() == [i for i, t in enumerate(lines) if i % 2 == 0 and t and words <= set(t.split())]
+        if len(found):
+            assert places.densities(asked, entries).tolist() == [retrieval.density(lines[i].split(), [[(w,)] for w in words]) for i in found]
+
+
+def test_scores_are_rounded_as_in_sql():
+    x = np.array([1 / 1024, 0.5 + 1 / 1024, 1 / 3, 2.0, 0.0])
+    assert postings.rounded(x, 9).tolist() == [0.000976563, 0.500976563, 0.333333333, 2.0, 0.0]
+
+
 def test_index_holds_every_word(spark, made, texts):
     rows = {(r.term, r.chunk_id): list(r.positions) for r in retrieval.inverted_index(made[0].chunk).collect()}
     want = {}

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from lexharbor.functions import metadata, vectors
-from lexharbor.functions.text import clean, heading, preview, slug, strip, tokens, word_count, words
+from lexharbor.functions.text import clean, heading, preview, slug, strip, tokens, word_count, words, words_only
 
 
 def one(spark, text, *columns):
@@ -63,3 +63,9 @@ def test_vectors(spark):
     assert got == [0.0, None, None, None, 2.0]
     assert [r[0] for r in df.select(vectors.normalized(F.col("v"))).limit(2).collect()] == [[0.6000000238418579, 0.800000011920929], [0.0, 0.0]]
     assert df.where("size(v) = 1").select(vectors.checked(F.col("v"), 1)).first()[0] == [1.0]
+
+
+def test_words_only_are_the_tokens(spark):
+    for text in ("", "  ", "--a.B_c\n ÄÖ\u0301x 9² İstanbul", "x", "\tx\xa0y, ", None):
+        got, found = one(spark, text, words_only(F.col("t")), tokens(F.col("t")))
+        assert got == (None if found is None else " ".join(found)), text
